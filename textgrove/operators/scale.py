@@ -118,11 +118,16 @@ def _keyed(df: DataFrame, id_col: str, seed: int | str, by: list[str]) -> DataFr
 
 
 def seeded_cuts(
-    df: DataFrame, wanted: DataFrame, id_col: str, by: list[str], seed: int | str = 42
+    df: DataFrame,
+    wanted: DataFrame,
+    names: list[str],
+    id_col: str,
+    by: list[str],
+    seed: int | str = 42,
 ) -> DataFrame:
     """Where to cut the shuffled rows of each stratum to get given counts.
 
-    ``wanted`` holds ``(by..., cut, k)``. The result has one row per stratum
+    ``wanted`` holds ``(by..., cut, k)``, ``names`` lists the cuts. The result has one row per stratum
     and a column per cut name, ``struct(_hash, _id)`` of its k-th row: a row is
     among the first k when its own struct is not greater. Only ids and strata
     are read, the counts of the hash buckets are shuffled, and only the rows of
@@ -145,7 +150,6 @@ def seeded_cuts(
         "_row", F.row_number().over(Window.partitionBy(*by, "_bucket").orderBy("_hash", "_id"))
     )
     found = match(ranked, hit, [*by, "_bucket"]).filter(F.col("_row") == F.col("_nth"))
-    names = sorted(r["cut"] for r in wanted.select("cut").distinct().collect())
     cuts = found.groupBy(*by).agg(
         *[
             F.max(F.when(F.col("cut") == n, F.struct("_hash", "_id"))).alias(n)

@@ -9,11 +9,11 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textgrove.operators.scale import match, seeded_cuts, settle, within
+from textgrove.operators.scale import match, seeded_cuts, within
 
 MAX_STRATA = 100_000  # more distinct labels than this are no classes
 
@@ -36,45 +36,40 @@ def largest_remainder(classes: DataFrame, size: str, total: int, take: int, by:
     )
 
 
-def _classes(df: DataFrame, label: str) -> DataFrame:
-    classes = settle(df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_size")), "classes")
-    facts = classes.agg(F.count("*").alias("n"), F.min("_size").alias("least")).first()
-    if facts["n"] > MAX_STRATA:
-        raise ValueError(f"{label} has {facts['n']} values, too many for stratification")
-    if facts["n"] and facts["least"] < 2:
-        raise ValueError(f"a class of {label} has a single row and cannot be stratified")
-    return classes
+def _wanted(counts: DataFrame, key: str, cuts: list[tuple[str, Column]]) -> DataFrame:
+    """One row per stratum and cut, as ``seeded_cuts`` takes it."""
+    rows = F.array(*[F.struct(F.lit(n).alias("cut"), k.cast("long").alias("k")) for n, k in cuts])
+    return counts.select(key, F.inline(rows))
 
 
-def _share_out(df: DataFrame, label: str, shares: dict[str, float]) -> tuple[DataFrame, list[str]]:
+def _share_out(df: DataFrame, label: str, shares: dict[str, float]) -> DataFrame:
     """Rows each class gives to each named part, taken one part after the other.
 
     A share refers to the rows that the parts before it have left over.
     """
-    classes = _classes(df, label)
-    total = classes.agg(F.sum("_size")).first()[0] or 0
-    counts, rest, taken = classes.withColumn("_rest", F.col("_size")), total, F.lit(0)
-    wanted = []
+    classes = df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_size"))
+    facts = classes.agg(F.count("*"), F.min("_size"), F.sum("_size")).first()
+    n_classes, least, rest = facts[0], facts[1], facts[2] or 0
+    if n_classes > MAX_STRATA:
+        raise ValueError(f"{label} has {n_classes} values, too many for stratification")
+    if least == 1:
+        raise ValueError(f"a class of {label} has a single row and cannot be stratified")
+    counts, taken, cuts = classes.withColumn("_rest", F.col("_size")), F.lit(0), []
     for name, share in shares.items():
         take = min(math.ceil(share * rest), rest)
         counts = largest_remainder(counts, "_rest", max(rest, 1), take, "_label", f"_{name}")
         counts = counts.withColumn("_rest", F.col("_rest") - F.col(f"_{name}"))
         taken, rest = taken + F.col(f"_{name}"), rest - take
-        wanted.append((name, taken))
-    cuts = reduce(
-        DataFrame.unionByName,
-        [counts.select("_label", F.lit(n).alias("cut"), k.cast("long").alias("k")) for n, k in wanted],
-    )
-    return settle(cuts, "shares"), list(shares)
+        cuts.append((name, taken))
+    return _wanted(counts, "_label", cuts)
 
 
 def stratified_parts(
     df: DataFrame, id_col: str, label: str, shares: dict[str, float], rest: str, seed: int | str = 42
 ) -> DataFrame:
     """Tag each row with a part; every part has its exact stratified size."""
-    wanted, names = _share_out(df, label, shares)
-    keyed = df.withColumn("_label", F.col(label))
-    cuts = seeded_cuts(keyed, wanted, id_col, ["_label"], seed)
+    keyed, names = df.withColumn("_label", F.col(label)), list(shares)
+    cuts = seeded_cuts(keyed, _share_out(df, label, shares), names, id_col, ["_label"], seed)
     tag = reduce(
         lambda acc, name: acc.when(within(id_col, seed, name), name),
         names,
@@ -99,7 +94,7 @@ def three_way_split(
 
 
 def take_seeded(
-    df: DataFrame, id_col: str, n: int | None, seed: int | str = 42, where: str | None = None
+    df: DataFrame, id_col: str, n: int | None, seed: int | str = 42
 ) -> DataFrame:
     """First ``n`` rows of the shuffled table (SPL-6, SPL-9); ``None`` takes all."""
     if n is None:
@@ -113,14 +108,11 @@ def tag_first(
 ) -> DataFrame:
     """Tag the first rows of the shuffled table with ``_part``, unstratified."""
     flat = df.withColumn("_all", F.lit(0))
-    total = df.count()
-    spark = df.sparkSession
-    upto, rows = 0, []
+    sizes, upto, cuts = flat.groupBy("_all").agg(F.count("*").alias("_size")), 0, []
     for name, n in counts.items():
-        upto = min(upto + n, total)
-        rows.append((0, name, upto))
-    wanted = spark.createDataFrame(rows, "_all int, cut string, k long")
-    cuts = seeded_cuts(flat, wanted, id_col, ["_all"], seed)
+        upto += n
+        cuts.append((name, F.least(F.lit(upto), "_size")))
+    cuts = seeded_cuts(flat, _wanted(sizes, "_all", cuts), list(counts), id_col, ["_all"], seed)
     tag = reduce(
         lambda acc, name: acc.when(within(id_col, seed, name), name),
         counts,
@@ -193,16 +185,10 @@ def cap_splits(
         limits.items(),
         F.when(F.lit(False), F.lit(0)),
     )
-    wanted = settle(
-        sizes.filter(F.col("_split").isin(*limits)).select(
-            "_split", F.lit("_kept").alias("cut"), F.least(limit, "_size").cast("long").alias("k")
-        ),
-        "limits",
-    )
+    sizes = sizes.filter(F.col("_split").isin(*limits))
+    wanted = _wanted(sizes, "_split", [("_kept", F.least(limit, "_size"))])
     keyed = df.withColumn("_split", F.col(split))
-    cuts = seeded_cuts(keyed, wanted, id_col, ["_split"], seed)
-    if "_kept" not in cuts.columns:
-        return df.filter(~F.coalesce(F.col(split).isin(*limits), F.lit(False)))
+    cuts = seeded_cuts(keyed, wanted, ["_kept"], id_col, ["_split"], seed)
     free = ~F.coalesce(F.col(split).isin(*limits), F.lit(False))
     return (
         match(keyed, cuts, ["_split"], "left")
