@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgrove.functions.text import char_count, word_count
-from textgrove.operators.scale import match, running_totals
+from textgrove.operators.scale import match, running_totals, settle
 
 ADVICE_COLUMNS = ["rule", "finding", "value"]
 
@@ -81,11 +81,12 @@ def quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one column per point.
 
-    Equal values are counted together first; the rank of each distinct value
-    comes from ``running_totals``, so no group has to fit into one task.
+    Equal values are counted together first, nulls as zero; the rank of each
+    distinct value comes from ``running_totals``, so no group has to fit into
+    one task.
     """
     by = by or []
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
+    counted = df.groupBy(*by, value).agg(F.count(value).alias("_n"))
     ranked = running_totals(counted, [value], ["_n"], by)
     sizes = counted.groupBy(*by).agg(F.sum("_n").alias("_size"))
     if by:
@@ -145,16 +146,27 @@ def describe_fast(df: DataFrame, value: str, by: list[str] | None = None, accura
 def histogram(df: DataFrame, value: str, bins: int = 50, by: list[str] | None = None) -> DataFrame:
     """Equal-width histogram over the range of each group (AGG-9, AGG-10).
 
+    Whole numbers are counted per value first; fractions, which seldom repeat,
+    go straight into their bins.
+
     Empty bins are kept, the last bin includes the maximum, and a group with a
     single value gets the range one half around it.
     """
     by = by or []
-    values = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    counted = values.groupBy(*by, "_v").agg(F.count("*").alias("_n"))
-    ranges = counted.groupBy(*by).agg(F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+    values = df.select(*by, F.col(value).cast("double").alias("_v"))
+    if dict(df.dtypes)[value] in ("double", "float"):
+        counted = values.withColumn("_n", F.lit(1).cast("long"))
+    else:
+        counted = values.groupBy(*by, "_v").agg(F.count("_v").alias("_n"))
+    ranges = counted.groupBy(*by).agg(
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_n").alias("_size")
+    )
     half = F.when(F.col("_min") == F.col("_max"), 0.5).otherwise(0.0)
-    ranges = ranges.select(*by, (F.col("_min") - half).alias("_lo"), (F.col("_max") + half).alias("_hi"))
+    ranges = ranges.filter((F.col("_size") > 0) & F.col("_min").isNotNull()).select(
+        *by, (F.col("_min") - half).alias("_lo"), (F.col("_max") + half).alias("_hi")
+    )
     if by:
+        ranges = settle(ranges, "ranges")
         placed = match(counted, ranges, by)
     else:
         edges = ranges.select(F.struct("_lo", "_hi").alias("r")).scalar()

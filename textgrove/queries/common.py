@@ -36,10 +36,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents"))
 
 
-def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled texts ``(id, text, lang, label)``: documents with a quality label."""
-    labels = table(spark, sf_dir, "labels")
-    return table(spark, sf_dir, "documents").join(labels, "doc_id").select(
+def labelled(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """Labelled texts ``(id, text, lang, label)``: documents with a quality label.
+
+    ``heavy`` spreads the texts over the cores, for work beyond moving them.
+    """
+    docs = documents(spark, sf_dir) if heavy else table(spark, sf_dir, "documents")
+    return docs.join(table(spark, sf_dir, "labels"), "doc_id").select(
         F.col("doc_id").alias("id"), "text", "lang", F.col("quality").alias("label")
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textgrove.operators import profile as P
 from textgrove.operators.split import three_way_split
-from textgrove.queries.common import LABELLED, labelled, query, rounded, table
+from textgrove.queries.common import LABELLED, documents, labelled, query, rounded, table
 from textgrove.queries.split import THREE_WAY
 
 WORDS = r"len(regexp_extract_all(text, '\S+'))"
@@ -43,7 +43,7 @@ FROM m GROUP BY split"""
 
 @query("agg_03_text_lengths", _lengths("length(text)", "text_length"))
 def text_lengths(spark, sf_dir):
-    found = P.analyze(labelled(spark, sf_dir), by="lang")
+    found = P.analyze(labelled(spark, sf_dir, heavy=True), by="lang")
     return rounded(found).select(
         "split",
         "avg_text_length",
@@ -53,7 +53,7 @@ def text_lengths(spark, sf_dir):
 
 @query("agg_04_word_counts", _lengths(WORDS, "word_count"))
 def word_counts(spark, sf_dir):
-    found = P.analyze(labelled(spark, sf_dir), by="lang")
+    found = P.analyze(labelled(spark, sf_dir, heavy=True), by="lang")
     return rounded(found).select(
         "split",
         "avg_word_count",
@@ -74,7 +74,7 @@ SELECT m.split, count(*) AS num_samples, count(DISTINCT label) AS num_labels,
        CAST(min(words) AS BIGINT) AS min_word_count
 FROM m JOIN d ON m.split = d.split GROUP BY m.split""")
 def analyze_splits(spark, sf_dir):
-    found = P.analyze(three_way_split(labelled(spark, sf_dir), "id", "label"))
+    found = P.analyze(three_way_split(labelled(spark, sf_dir, heavy=True), "id", "label"))
     pairs = F.transform(
         F.map_entries("label_distribution"),
         lambda e: F.concat_ws(":", e["key"].cast("string"), e["value"].cast("string")),
@@ -92,7 +92,7 @@ SELECT 'dataset' AS split, count(*) AS num_samples, count(DISTINCT lang) AS num_
        round(avg(length(text)), 6) AS avg_text_length, round(avg({WORDS}), 6) AS avg_word_count
 FROM documents""")
 def analyze_documents(spark, sf_dir):
-    found = P.analyze(table(spark, sf_dir, "documents"), label="lang", by=None)
+    found = P.analyze(documents(spark, sf_dir), label="lang", by=None)
     return rounded(
         found.select("split", "num_samples", "num_labels", "avg_text_length", "avg_word_count")
     )
@@ -111,14 +111,14 @@ def _doubles(df):
 @query("agg_06_describe_lengths", f"""
 WITH m AS (SELECT CAST(length(text) AS DOUBLE) AS v FROM documents) SELECT {DESCRIBE} FROM m""")
 def describe_lengths(spark, sf_dir):
-    return _doubles(P.describe(P.measure(table(spark, sf_dir, "documents")), "chars"))
+    return _doubles(P.describe(P.measure(documents(spark, sf_dir)), "chars"))
 
 
 @query("agg_06_describe_words_by_lang", f"""
 WITH m AS (SELECT lang, CAST({WORDS} AS DOUBLE) AS v FROM documents)
 SELECT lang, {DESCRIBE} FROM m GROUP BY lang""")
 def describe_words(spark, sf_dir):
-    return _doubles(P.describe(P.measure(table(spark, sf_dir, "documents")), "words", ["lang"]))
+    return _doubles(P.describe(P.measure(documents(spark, sf_dir)), "words", ["lang"]))
 
 
 @query("agg_06_describe_prices", f"""
@@ -133,7 +133,7 @@ def describe_prices(spark, sf_dir):
 
 @query("agg_06_describe_fast")
 def describe_fast(spark, sf_dir):
-    return P.describe_fast(P.measure(table(spark, sf_dir, "documents")), "chars", ["lang"])
+    return P.describe_fast(P.measure(documents(spark, sf_dir)), "chars", ["lang"])
 
 
 @query("agg_07_label_shares", f"""
@@ -175,20 +175,20 @@ FROM g LEFT JOIN f ON g.bin = f.bin {f'AND g.{by} = f.{by}' if by else ''}"""
 @query("agg_09_histogram_chars", histogram_sql(
     "SELECT CAST(length(text) AS DOUBLE) AS v FROM documents", 50))
 def histogram_chars(spark, sf_dir):
-    return rounded(P.histogram(P.measure(table(spark, sf_dir, "documents")), "chars", 50))
+    return rounded(P.histogram(P.measure(documents(spark, sf_dir)), "chars", 50))
 
 
 @query("agg_09_histogram_words", histogram_sql(
     f"SELECT CAST({WORDS} AS DOUBLE) AS v FROM documents", 50))
 def histogram_words(spark, sf_dir):
-    return rounded(P.histogram(P.measure(table(spark, sf_dir, "documents")), "words", 50))
+    return rounded(P.histogram(P.measure(documents(spark, sf_dir)), "words", 50))
 
 
 @query("agg_10_histogram_by_label", histogram_sql(
     "SELECT l.quality AS label, CAST(length(d.text) AS DOUBLE) AS v"
     " FROM documents d JOIN labels l ON d.doc_id = l.doc_id", 30, "label"))
 def histogram_by_label(spark, sf_dir):
-    return rounded(P.histogram(P.measure(labelled(spark, sf_dir)), "chars", 30, ["label"]))
+    return rounded(P.histogram(P.measure(labelled(spark, sf_dir, heavy=True)), "chars", 30, ["label"]))
 
 
 @query("agg_10_histogram_events", histogram_sql(
@@ -218,5 +218,5 @@ UNION ALL SELECT 'balance', CASE WHEN ratio > 2 THEN 'imbalanced: weight or resa
 UNION ALL SELECT 'classes', CASE WHEN classes = 2 THEN 'binary: sigmoid' ELSE 'multi-class: softmax' END,
        CAST(classes AS DOUBLE) FROM f""")
 def advice(spark, sf_dir):
-    found = P.analyze(three_way_split(labelled(spark, sf_dir), "id", "label"))
+    found = P.analyze(three_way_split(labelled(spark, sf_dir, heavy=True), "id", "label"))
     return rounded(P.advice(found))
