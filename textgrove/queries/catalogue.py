@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textgrove.queries import evaluate, profile, split, text  # noqa: F401
+from textgrove.queries import evaluate, language, profile, split, text, tokens  # noqa: F401
 from textgrove.queries.common import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
