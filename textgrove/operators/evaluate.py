@@ -116,27 +116,16 @@ def _score_points(scored: DataFrame, score: str, positive: int) -> DataFrame:
 
 def roc_points(scored: DataFrame, score: str = "score", positive: int = 1) -> DataFrame:
     """ROC curve (EVL-6): one point per distinct score and the origin, ties merged."""
-    points = _score_points(scored, score, positive)
-    sums = points.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    total = sums.select(F.struct("p", "n").alias("t")).scalar()
-    curve = points.withColumn("t", total).select(
-        (F.col("neg_before") + F.col("neg")).alias("fp"),
-        (F.col("pos_before") + F.col("pos")).alias("tp"),
-        "t",
+    share = lambda part, whole: F.when(F.col(whole) > 0, part / F.col(whole))
+    curve = _score_points(scored, score, positive).select(
+        share(F.col("neg_before") + F.col("neg"), "neg_total").alias("fpr"),
+        share(F.col("pos_before") + F.col("pos"), "pos_total").alias("tpr"),
         "threshold",
     )
-    origin = sums.select(
-        F.lit(0).cast("long").alias("fp"),
-        F.lit(0).cast("long").alias("tp"),
-        F.struct("p", "n").alias("t"),
-        F.lit(None).cast("double").alias("threshold"),
-    )
-    share = lambda part, whole: F.when(whole > 0, part / whole)
-    return curve.unionByName(origin).select(
-        share(F.col("fp"), F.col("t.n")).alias("fpr"),
-        share(F.col("tp"), F.col("t.p")).alias("tpr"),
-        "threshold",
+    origin = scored.sparkSession.range(1).select(
+        F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(None).cast("double").alias("threshold")
     )
+    return curve.unionByName(origin)
 
 
 def roc_auc(scored: DataFrame, score: str = "score", positive: int = 1) -> DataFrame:

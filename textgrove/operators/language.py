@@ -106,10 +106,10 @@ def score_words(table: DataFrame, grams: DataFrame, languages: list[str]) -> Dat
     return split.join(grams, "gram").groupBy("word").agg(*[F.sum(x).alias(x) for x in languages])
 
 
-def detect(
+def detect_ids(
     df: DataFrame, profiles: Profiles, id_col: str = "id", text: str = "text", name: str = "detected"
 ) -> DataFrame:
-    """Language of every text (LNG-2); texts without evidence get the default.
+    """Id and language of every text that has a known trigram (LNG-2).
 
     Frequent words bring their score along, the trigrams of the others are
     looked up. Both tables are as large as the profile, not as the data, and
@@ -117,20 +117,23 @@ def detect(
     language that comes first in the alphabet.
     """
     langs = profiles.languages
-    exploded = df.select(F.col(id_col).alias("_id"), F.explode(words(F.col(text))).alias("word"))
+    exploded = df.select(id_col, F.explode(words(F.col(text))).alias("word"))
     scored = exploded.join(profiles.frequent, "word", "left")
     rare = F.when(F.col(langs[0]).isNull(), trigrams(F.col("word")))
     grams = profiles.grams.withColumnsRenamed({x: f"_{x}" for x in langs})
-    pieces = scored.select("_id", *langs, F.explode_outer(rare).alias("gram")).join(grams, "gram", "left")
-    sums = pieces.groupBy("_id").agg(*[F.sum(F.coalesce(x, f"_{x}")).alias(x) for x in langs])
+    pieces = scored.select(id_col, *langs, F.explode_outer(rare).alias("gram")).join(grams, "gram", "left")
+    sums = pieces.groupBy(id_col).agg(*[F.sum(F.coalesce(x, f"_{x}")).alias(x) for x in langs])
     best = F.greatest(*langs) if len(langs) > 1 else F.col(langs[0])
     choice = F.coalesce(*[F.when(F.col(x) == best, F.lit(x)) for x in langs])
-    found = sums.select("_id", choice.alias(name))
-    return (
-        df.join(found, df[id_col] == found["_id"], "left")
-        .withColumn(name, F.coalesce(name, F.lit(DEFAULT)))
-        .select(*[c for c in df.columns if c != name], name)
-    )
+    return sums.select(id_col, choice.alias(name)).filter(F.col(name).isNotNull())
+
+
+def detect(
+    df: DataFrame, profiles: Profiles, id_col: str = "id", text: str = "text", name: str = "detected"
+) -> DataFrame:
+    """Add the language of every text (LNG-2); without evidence it is the default."""
+    found = detect_ids(df, profiles, id_col, text, name)
+    return df.drop(name).join(found, id_col, "left").withColumn(name, F.coalesce(name, F.lit(DEFAULT)))
 
 
 def route(given: Column | None, detected: Column, models: list[str] | None = None) -> Column:

@@ -87,19 +87,14 @@ def quantiles(
     """
     by = by or []
     counted = df.groupBy(*by, value).agg(F.count(value).alias("_n"))
-    ranked = running_totals(counted, [value], ["_n"], by)
-    sizes = counted.groupBy(*by).agg(F.sum("_n").alias("_size"))
-    if by:
-        placed = match(ranked, sizes, by)
-    else:
-        placed = ranked.withColumn("_size", sizes.select("_size").scalar())
+    placed = running_totals(counted, [value], ["_n"], by)
     first, last = F.col("_n_before"), F.col("_n_before") + F.col("_n") - 1
 
     def at(index: Column) -> Column:
         return F.max(F.when((first <= index) & (index <= last), F.col(value))).cast("double")
 
     def between(p: float) -> Column:
-        position = (F.col("_size") - 1) * F.lit(float(p))
+        position = (F.col("_n_total") - 1) * F.lit(float(p))
         low, high = at(F.floor(position)), at(F.ceil(position))
         return low + (high - low) * F.max(position - F.floor(position))
 

@@ -73,11 +73,12 @@ def match(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner")
 def running_totals(
     df: DataFrame, order: list[str], values: list[str], by: list[str] | None = None
 ) -> DataFrame:
-    """Add ``<value>_before``, the sum of ``value`` over all earlier rows.
+    """Add ``<value>_before``, the sum over all earlier rows, and ``<value>_total``.
 
     ``order`` must be unique within ``by``. The rows are range-partitioned and
     written once, so that both later passes see the same ranges; each range is
-    summed for itself and shifted by the total of the ranges before it.
+    summed for itself and shifted by the total of the ranges before it. There
+    are as many ranges as shuffle partitions, so the offsets stay small.
     """
     by = by or []
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -85,25 +86,25 @@ def running_totals(
         df.repartitionByRange(parts, *by, *order).withColumn("_range", F.spark_partition_id()),
         "ranges",
     )
-    ranges = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = ranged.groupBy(*by, "_range").agg(*[F.sum(v).alias(f"_{v}") for v in values])
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy(*by, "_range").agg(*[F.sum(v).alias(v) for v in values])
     offsets = sums.select(
         *by,
         "_range",
-        *[F.coalesce(F.sum(f"_{v}").over(ranges), F.lit(0)).alias(f"_{v}_offset") for v in values],
+        *[F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_{v}_offset") for v in values],
+        *[F.sum(v).over(Window.partitionBy(*by)).alias(f"{v}_total") for v in values],
     )
     inside = (
         Window.partitionBy("_range", *by)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    shifted = match(ranged, offsets, ["_range", *by])
+    shifted = match(ranged, settle(offsets, "offsets"), ["_range", *by])
+    before = lambda v: F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"_{v}_offset")
     return shifted.select(
         *df.columns,
-        *[
-            (F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"_{v}_offset")).alias(f"{v}_before")
-            for v in values
-        ],
+        *[before(v).alias(f"{v}_before") for v in values],
+        *[f"{v}_total" for v in values],
     )
 
 
@@ -170,7 +171,8 @@ def seeded_rank(
 ) -> DataFrame:
     """Add the 1-based position of each row in the shuffled order of its stratum.
 
-    Hash buckets are ranked in parallel; the counts of the buckets give offsets.
+    Hash buckets are ranked in parallel; the counts of the buckets, one small
+    table, give offsets. The rows are shuffled once, by bucket.
     """
     by = by or []
     hashed = df.withColumn("_hash", seeded_hash(id_col, seed)).withColumn(
@@ -185,7 +187,7 @@ def seeded_rank(
     )
     local = Window.partitionBy(*by, "_bucket").orderBy("_hash", id_col)
     return (
-        match(hashed, offsets, [*by, "_bucket"])
+        match(hashed, settle(offsets, "offsets"), [*by, "_bucket"])
         .withColumn(name, F.col("_offset") + F.row_number().over(local))
         .drop("_hash", "_bucket", "_offset")
     )
