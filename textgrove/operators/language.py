@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgrove.functions.text import clean_text
-from textgrove.operators.scale import settle
+from textgrove.operators.scale import settle, spread
 
 # Supported languages, those with a model, and the default.
 SUPPORTED = ["en", "es", "fr", "de", "it", "pt", "ru", "zh", "ja", "ar"]
@@ -69,8 +69,9 @@ def word_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
 
 def gram_counts(counts: DataFrame, languages: list[str]) -> DataFrame:
     """Occurrences of each trigram, one column per language."""
-    grams = counts.select("lang", "n", F.explode(trigrams(F.col("word"))).alias("gram"))
-    return grams.groupBy("gram").pivot("lang", languages).agg(F.sum("n")).na.fill(0)
+    grams = spread(counts).select("lang", "n", F.explode(trigrams(F.col("word"))).alias("gram"))
+    of = lambda x: F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(x)
+    return grams.groupBy("gram").agg(*[of(x) for x in languages])
 
 
 def build_profiles(df: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:

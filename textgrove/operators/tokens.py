@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textgrove.functions.tokens import attention_mask, frame, pad, pretokenize
-from textgrove.operators.scale import seeded_rank, settle
+from textgrove.operators.scale import seeded_rank, settle, spread
 
 # Special tokens, by role.
 SPECIALS = {"pad": "[PAD]", "unk": "[UNK]", "cls": "[CLS]", "sep": "[SEP]", "mask": "[MASK]"}
@@ -58,7 +58,7 @@ def build_vocabulary(counts: DataFrame, size: int) -> DataFrame:
         F.transform(starts, lambda i: F.concat(mark(i), F.substring(word, i, F.length(word)))),
         lambda p: F.length(F.regexp_replace(p, "^" + CONTINUED + "(?=.)", "")) > 1,
     )
-    usable = counts.filter(F.length("word") <= MAX_WORD)
+    usable = spread(counts).filter(F.length("word") <= MAX_WORD)
     pieces = (
         usable.select("n", F.explode(F.concat(characters, ends)).alias("token"))
         .groupBy("token")
@@ -77,46 +77,6 @@ def build_vocabulary(counts: DataFrame, size: int) -> DataFrame:
     return counts.sparkSession.range(1).select(F.inline(special)).unionByName(numbered)
 
 
-def word_pieces(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """Piece ids of each distinct word by greedy longest match (TOK-4).
-
-    All parts of a word are looked up at once; per start the longest hit is
-    kept, and the hits are walked from the left. A word that cannot be covered
-    becomes the unknown token.
-    """
-    unknown = vocabulary.filter(F.col("token") == SPECIALS["unk"]).select(F.col("id").cast("int")).scalar()
-    distinct = words.select("word").distinct()
-    usable = distinct.filter(F.length("word") <= MAX_WORD)
-    parts = (
-        usable.withColumn("start", F.explode(F.sequence(F.lit(1), F.length("word"))))
-        .withColumn("len", F.explode(F.sequence(F.lit(1), F.length("word") - F.col("start") + 1)))
-        .withColumn("token", F.concat(
-            F.when(F.col("start") > 1, CONTINUED).otherwise(""), F.substring("word", F.col("start"), F.col("len"))
-        ))
-    )
-    longest = (
-        parts.join(vocabulary, "token")
-        .groupBy("word", "start")
-        .agg(F.max(F.struct("len", F.col("id").cast("int").alias("id"))).alias("hit"))
-    )
-    hits = longest.groupBy("word").agg(
-        F.array_sort(F.collect_list(F.struct("start", "hit.len", "hit.id"))).alias("hits")
-    )
-    begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<int>").alias("ids"))
-    walked = F.aggregate(
-        "hits",
-        begin,
-        lambda acc, h: F.when(
-            h["start"] == acc["at"],
-            F.struct((acc["at"] + h["len"]).alias("at"), F.concat(acc["ids"], F.array(h["id"])).alias("ids")),
-        ).otherwise(acc),
-    )
-    covered = hits.withColumn("w", walked).filter(F.col("w.at") == F.length("word") + 1)
-    return distinct.join(covered.select("word", F.col("w.ids").alias("ids")), "word", "left").select(
-        "word", F.coalesce("ids", F.array(unknown)).alias("ids")
-    )
-
-
 def vocabulary_ids(vocabulary: DataFrame) -> dict[str, int]:
     """The vocabulary as a dictionary, after a check of its size."""
     rows = vocabulary.select("token", "id").limit(MAX_VOCABULARY + 1).collect()
@@ -140,14 +100,9 @@ def _greedy(word: str, ids: dict[str, int], unknown: int, longest: int) -> list[
     return found or [unknown]
 
 
-def encode(df: DataFrame, ids: dict[str, int], text: str = "text", name: str = "ids") -> DataFrame:
-    """Add the piece ids of every text, in order and in full (TOK-4).
-
-    Words are cut out in the JVM; looking them up is a narrow Arrow step, so
-    that no text is taken apart and shuffled back together. Each task cuts a
-    word once and remembers its pieces.
-    """
-    shared = df.sparkSession.sparkContext.broadcast(ids)
+def _look_up(spark: SparkSession, ids: dict[str, int]):
+    """Arrow function from words to piece ids; a task cuts each word once."""
+    shared = spark.sparkContext.broadcast(ids)
     unknown = ids[SPECIALS["unk"]]
 
     @F.pandas_udf("array<int>")
@@ -169,6 +124,25 @@ def encode(df: DataFrame, ids: dict[str, int], text: str = "text", name: str = "
                 encoded.append(out)
             yield pd.Series(encoded, dtype="object")
 
+    return look_up
+
+
+def word_pieces(words: DataFrame, ids: dict[str, int]) -> DataFrame:
+    """Piece ids of each distinct word by greedy longest match (TOK-4).
+
+    A word that cannot be covered becomes the unknown token.
+    """
+    look_up = _look_up(words.sparkSession, ids)
+    return spread(words).select("word").distinct().withColumn("ids", look_up(F.array("word")))
+
+
+def encode(df: DataFrame, ids: dict[str, int], text: str = "text", name: str = "ids") -> DataFrame:
+    """Add the piece ids of every text, in order and in full (TOK-4).
+
+    Words are cut out in the JVM; looking them up is a narrow Arrow step, so
+    that no text is taken apart and shuffled back together.
+    """
+    look_up = _look_up(df.sparkSession, ids)
     return df.withColumn(name, look_up(pretokenize(F.col(text))))
 
 

@@ -55,7 +55,7 @@ encoded AS MATERIALIZED (
 
 
 def vocabulary(docs):
-    return settle(K.build_vocabulary(K.token_counts(docs), SIZE), "vocabulary")
+    return K.build_vocabulary(settle(K.token_counts(docs), "counts"), SIZE)
 
 
 def joined(column):
@@ -85,8 +85,8 @@ def build_vocabulary(spark, sf_dir):
 WITH RECURSIVE {WORDS}, {VOCABULARY}, {PIECES} SELECT word, array_to_string(ids, ' ') AS ids FROM ids""")
 def word_pieces(spark, sf_dir):
     counts = settle(K.token_counts(documents(spark, sf_dir)), "counts")
-    pieces = K.word_pieces(counts, settle(K.build_vocabulary(counts, SIZE), "vocabulary"))
-    return pieces.select("word", joined("ids").alias("ids"))
+    ids = K.vocabulary_ids(K.build_vocabulary(counts, SIZE))
+    return K.word_pieces(counts, ids).select("word", joined("ids").alias("ids"))
 
 
 @query("tok_04_encode", f"""
