@@ -47,9 +47,12 @@ def words(text: Column) -> Column:
 
 
 def trigrams(word: Column) -> Column:
-    """Overlapping trigrams of ``_word_``, found in one pass by an empty match at each position."""
+    """Overlapping trigrams of ``_word_``, found in one pass by an empty match at each position.
+
+    The middle of a surrogate pair is no position.
+    """
     marked = F.concat(F.lit("_"), word, F.lit("_"))
-    return F.regexp_extract_all(marked, F.lit("(?s)(?=(.{3}))"), F.lit(1))
+    return F.regexp_extract_all(marked, F.lit(r"(?s)(?!\p{Cs})(?=(.{3}))"), F.lit(1))
 
 
 @dataclass(frozen=True)

@@ -148,9 +148,10 @@ def histogram(df: DataFrame, value: str, bins: int = 50, by: list[str] | None =
     single value gets the range one half around it.
     """
     by = by or []
-    values = df.select(*by, F.col(value).cast("double").alias("_v"))
+    number = F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double"))
+    values = df.select(*by, number.alias("_v"))
     if dict(df.dtypes)[value] in ("double", "float"):
-        counted = values.withColumn("_n", F.lit(1).cast("long"))
+        counted = values.withColumn("_n", F.col("_v").isNotNull().cast("long"))
     else:
         counted = values.groupBy(*by, "_v").agg(F.count("_v").alias("_n"))
     ranges = counted.groupBy(*by).agg(
