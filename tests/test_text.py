@@ -51,6 +51,12 @@ def test_late_rules_see_the_result_of_earlier_ones(spark):
     assert one(spark, ["don'that's"], T.expand_contractions(F.col("t")))[0][0] == "do nothat is"
 
 
+def test_odd_letters_take_the_long_way(spark):
+    texts = ["\u0131t's", "\u0130T'S", "it'\u017f", "ΣN'T Σ", "ΑΣ it's"]
+    got = [r[0] for r in one(spark, texts, T.clean_text(F.col("t")))]
+    assert got == [restated(t) for t in texts]
+
+
 def test_linear_on_long_runs(spark):
     long = "x" * 300_000
     rows = one(spark, [long, "<" * 100_000, "a@" * 50_000], F.length(T.clean_text(F.col("t"))))
@@ -68,11 +74,11 @@ def restated(text):
 
 
 PIECES = st.sampled_from(
-    ["<", ">", "@", "http", "www", "'s", "n't", "it", "don't", " ", "\n", "\xa0", "\x1c", "A", "ß", "é", "中", "1", ".", "'d", "'m", "I"]
+    ["<", ">", "@", "http", "www", "'s", "n't", "it", "don't", " ", "\n", "\xa0", "\x1c", "A", "ß", "é", "中", "1", ".", "Σ", "ı", "can't", "won't", "where", "that", "t", "who", "let", "n", "is", "You'RE", "'d", "'m", "I"]
 )
 
 
-@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.lists(PIECES, max_size=25).map("".join), min_size=30, max_size=30))
 def test_clean_text_equals_its_rules(spark, texts):
     got = [r[0] for r in one(spark, texts, T.clean_text(F.col("t")))]

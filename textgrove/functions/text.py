@@ -7,6 +7,8 @@ characters are anchored at the start of the run.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +45,15 @@ CONTRACTIONS = [
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
+def _if_contains(text: Column, marks: list[str], changed: Column, other: Column | None = None) -> Column:
+    """``changed`` where a mark occurs, else ``other`` or the text itself.
+
+    A byte search for the mark is much faster than a search for the pattern.
+    """
+    found = reduce(lambda a, b: a | b, [F.contains(text, F.lit(m)) for m in marks])
+    return F.when(found, changed).otherwise(text if other is None else other)
+
+
 def fill_missing(text: Column) -> Column:
     """Null becomes the empty string (TXT-1)."""
     return F.coalesce(text.cast("string"), F.lit(""))
@@ -56,22 +67,21 @@ def strip_html(text: Column) -> Column:
     """
     tail = F.substring_index(text, ">", -1)
     head = F.left(text, F.length(text) - F.length(tail))
-    return F.when(
-        F.contains(text, F.lit(">")),
-        F.concat(F.regexp_replace(head, r"<[^>]++>", ""), tail),
-    ).otherwise(text)
+    return _if_contains(text, [">"], F.concat(F.regexp_replace(head, r"<[^>]++>", ""), tail))
 
 
 def strip_urls(text: Column) -> Column:
     """Delete every run that starts with ``http`` or ``www``, even inside a word (TXT-3)."""
-    return F.regexp_replace(text, rf"(?U)(?:http|www)[^{SPACE}]+", "")
+    out = F.regexp_replace(text, rf"(?U)(?:http|www)[^{SPACE}]+", "")
+    return _if_contains(text, ["http", "www"], out)
 
 
 def strip_emails(text: Column) -> Column:
     """Delete each run of non-space characters with an ``@`` inside it (TXT-4)."""
-    return F.regexp_replace(
+    out = F.regexp_replace(
         text, rf"(?U)(?<![^{SPACE}])[^{SPACE}][^@{SPACE}]*+@[^{SPACE}]+", ""
     )
+    return _if_contains(text, ["@"], out)
 
 
 def expand_contractions(text: Column, word_boundary: bool = False) -> Column:
@@ -87,7 +97,28 @@ def expand_contractions(text: Column, word_boundary: bool = False) -> Column:
             suffix_rule = short.startswith("'") or short == "n't"
             pattern = (r"(?<=\w)" if suffix_rule else r"\b") + short + r"\b"
         out = F.regexp_replace(out, "(?iU)" + pattern, long)
-    return F.when(F.contains(text, F.lit("'")), out).otherwise(text)
+    return _if_contains(text, ["'"], out)
+
+
+# Letters for which lower-casing and ignoring case go different
+# ways, or whose lower case depends on the letters around them.
+ODD_LETTERS = ["\u0130", "\u0131", "\u017f", "\u03a3"]
+
+
+def expand_and_lower(text: Column) -> Column:
+    """``lower(expand_contractions(text))`` at the cost of a few byte searches.
+
+    On lower-case text most rules are plain replacements. Those that another
+    rule makes redundant are left out, and the ones that only turn ``'s`` into
+    ``is`` share a pattern, which looks back from the apostrophe. Texts with odd letters take the long way.
+    """
+    rules = dict(CONTRACTIONS)
+    plain = F.lower(text)
+    for short in ("won't", "can't", "n't", "'re", "'ve", "'ll", "'d", "'m", "let's"):
+        plain = F.replace(plain, F.lit(short), F.lit(rules[short]))
+    plain = F.regexp_replace(plain, "'(?<=(?:it|that|what|where|how|here|who)')s", " is")
+    either = _if_contains(text, ODD_LETTERS, F.lower(expand_contractions(text)), plain)
+    return _if_contains(text, ["'"], either, F.lower(text))
 
 
 def strip_digits(text: Column) -> Column:
@@ -119,8 +150,9 @@ def clean_text(
         (True, strip_html),
         (True, strip_urls),
         (True, strip_emails),
-        (contractions, expand_contractions),
-        (lowercase, F.lower),
+        (contractions and lowercase, expand_and_lower),
+        (contractions and not lowercase, expand_contractions),
+        (lowercase and not contractions, F.lower),
         (remove_numbers, strip_digits),
         (remove_punctuation, strip_punctuation),
         (remove_extra_whitespace, collapse_spaces),
