@@ -7,11 +7,16 @@ characters are anchored at the start of the run.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from textgrove.functions.binding import once
+
+Step = Callable[[Column], Column]
+
 # Whitespace as a regex class body (the Unicode set plus the four
 # ASCII separators U+001C to U+001F), to be used under (?U).
 SPACE = r"\s\x1c-\x1f"
@@ -45,13 +50,23 @@ CONTRACTIONS = [
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def _if_contains(text: Column, marks: list[str], changed: Column, other: Column | None = None) -> Column:
-    """``changed`` where a mark occurs, else ``other`` or the text itself.
+def _keep(text: Column) -> Column:
+    return text
+
+
+def _if_contains(
+    text: Column, marks: list[str], change: Step, other: Step = _keep
+) -> Column:
+    """``change(text)`` where a mark occurs, else ``other(text)``.
 
     A byte search for the mark is much faster than a search for the pattern.
     """
-    found = reduce(lambda a, b: a | b, [F.contains(text, F.lit(m)) for m in marks])
-    return F.when(found, changed).otherwise(text if other is None else other)
+
+    def choose(t: Column) -> Column:
+        found = reduce(lambda a, b: a | b, [F.contains(t, F.lit(m)) for m in marks])
+        return F.when(found, change(t)).otherwise(other(t))
+
+    return once(text, choose)
 
 
 def fill_missing(text: Column) -> Column:
@@ -65,23 +80,25 @@ def strip_html(text: Column) -> Column:
     Only the part up to the last ``>`` is searched, so that a text with many
     ``<`` and no closing mark is not rescanned from each of them.
     """
-    tail = F.substring_index(text, ">", -1)
-    head = F.left(text, F.length(text) - F.length(tail))
-    return _if_contains(text, [">"], F.concat(F.regexp_replace(head, r"<[^>]++>", ""), tail))
+
+    def change(t: Column) -> Column:
+        tail = F.substring_index(t, ">", -1)
+        head = F.left(t, F.length(t) - F.length(tail))
+        return F.concat(F.regexp_replace(head, r"<[^>]++>", ""), tail)
+
+    return _if_contains(text, [">"], change)
 
 
 def strip_urls(text: Column) -> Column:
     """Delete every run that starts with ``http`` or ``www``, even inside a word (TXT-3)."""
-    out = F.regexp_replace(text, rf"(?U)(?:http|www)[^{SPACE}]+", "")
-    return _if_contains(text, ["http", "www"], out)
+    pattern = rf"(?U)(?:http|www)[^{SPACE}]+"
+    return _if_contains(text, ["http", "www"], lambda t: F.regexp_replace(t, pattern, ""))
 
 
 def strip_emails(text: Column) -> Column:
     """Delete each run of non-space characters with an ``@`` inside it (TXT-4)."""
-    out = F.regexp_replace(
-        text, rf"(?U)(?<![^{SPACE}])[^{SPACE}][^@{SPACE}]*+@[^{SPACE}]+", ""
-    )
-    return _if_contains(text, ["@"], out)
+    pattern = rf"(?U)(?<![^{SPACE}])[^{SPACE}][^@{SPACE}]*+@[^{SPACE}]+"
+    return _if_contains(text, ["@"], lambda t: F.regexp_replace(t, pattern, ""))
 
 
 def expand_contractions(text: Column, word_boundary: bool = False) -> Column:
@@ -90,14 +107,17 @@ def expand_contractions(text: Column, word_boundary: bool = False) -> Column:
     ``word_boundary=True`` keeps a rule from matching inside a longer word:
     whole-word rules must start and suffix rules must end at a boundary.
     """
-    out = text
-    for short, long in CONTRACTIONS:
-        pattern = short
-        if word_boundary:
-            suffix_rule = short.startswith("'") or short == "n't"
-            pattern = (r"(?<=\w)" if suffix_rule else r"\b") + short + r"\b"
-        out = F.regexp_replace(out, "(?iU)" + pattern, long)
-    return _if_contains(text, ["'"], out)
+
+    def change(t: Column) -> Column:
+        for short, long in CONTRACTIONS:
+            pattern = short
+            if word_boundary:
+                suffix_rule = short.startswith("'") or short == "n't"
+                pattern = (r"(?<=\w)" if suffix_rule else r"\b") + short + r"\b"
+            t = F.regexp_replace(t, "(?iU)" + pattern, long)
+        return t
+
+    return _if_contains(text, ["'"], change)
 
 
 # Letters for which lower-casing and ignoring case go different
@@ -113,12 +133,17 @@ def expand_and_lower(text: Column) -> Column:
     ``is`` share a pattern, which looks back from the apostrophe. Texts with odd letters take the long way.
     """
     rules = dict(CONTRACTIONS)
-    plain = F.lower(text)
-    for short in ("won't", "can't", "n't", "'re", "'ve", "'ll", "'d", "'m", "let's"):
-        plain = F.replace(plain, F.lit(short), F.lit(rules[short]))
-    plain = F.regexp_replace(plain, "'(?<=(?:it|that|what|where|how|here|who)')s", " is")
-    either = _if_contains(text, ODD_LETTERS, F.lower(expand_contractions(text)), plain)
-    return _if_contains(text, ["'"], either, F.lower(text))
+
+    def replaced(t: Column) -> Column:
+        t = F.lower(t)
+        for short in ("won't", "can't", "n't", "'re", "'ve", "'ll", "'d", "'m", "let's"):
+            t = F.replace(t, F.lit(short), F.lit(rules[short]))
+        return F.regexp_replace(t, "'(?<=(?:it|that|what|where|how|here|who)')s", " is")
+
+    def change(t: Column) -> Column:
+        return _if_contains(t, ODD_LETTERS, lambda t: F.lower(expand_contractions(t)), replaced)
+
+    return _if_contains(text, ["'"], change, F.lower)
 
 
 def strip_digits(text: Column) -> Column:

@@ -2,25 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with the value computed once per row, not once per place of use."""
-    return F.transform(F.array(value), use)[0]
+from textgrove.functions.binding import once
 
 
 def softmax(logits: Column) -> Column:
     """Probabilities of an array of logits, shifted by the maximum for stability."""
-    powers = _once(
+    powers = once(
         F.array_max(logits),
         lambda top: F.transform(logits, lambda x: F.exp(x.cast("double") - top.cast("double"))),
     )
     total = lambda values: F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
-    return _once(powers, lambda p: _once(total(p), lambda t: F.transform(p, lambda x: x / t)))
+    return once(powers, lambda p: once(total(p), lambda t: F.transform(p, lambda x: x / t)))
 
 
 def argmax(values: Column) -> Column:

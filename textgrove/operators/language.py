@@ -72,7 +72,7 @@ def word_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
 
 def gram_counts(counts: DataFrame, languages: list[str]) -> DataFrame:
     """Occurrences of each trigram, one column per language."""
-    grams = spread(counts).select("lang", "n", F.explode(trigrams(F.col("word"))).alias("gram"))
+    grams = counts.select("lang", "n", F.explode(trigrams(F.col("word"))).alias("gram"))
     of = lambda x: F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(x)
     return grams.groupBy("gram").agg(*[of(x) for x in languages])
 
@@ -84,7 +84,7 @@ def build_profiles(df: DataFrame, text: str = "text", lang: str = "lang") -> Pro
     are logarithms of add-one smoothed trigram shares.
     """
     known = df.filter(F.col(lang).isNotNull())
-    counts = settle(word_counts(known, text, lang), "words")
+    counts = spread(settle(word_counts(known, text, lang), "words"))
     found = counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"{lang} has more than {MAX_LANGUAGES} values and names no languages")

@@ -54,6 +54,7 @@ def spread(df: DataFrame, few_files: int = 16) -> DataFrame:
     """Give every core a share of an input that sits in a handful of small files.
 
     A table of many files or splits is returned as it is, without a shuffle.
+    Meant for tables just read: asking a longer plan for its partitions runs it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if len(df.inputFiles()) >= few_files or df.rdd.getNumPartitions() >= cores:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textgrove.functions.tokens import attention_mask, frame, pad, pretokenize
-from textgrove.operators.scale import seeded_rank, settle, spread
+from textgrove.operators.scale import seeded_rank, settle
 
 # Special tokens, by role.
 SPECIALS = {"pad": "[PAD]", "unk": "[UNK]", "cls": "[CLS]", "sep": "[SEP]", "mask": "[MASK]"}
@@ -58,7 +58,7 @@ def build_vocabulary(counts: DataFrame, size: int) -> DataFrame:
         F.transform(starts, lambda i: F.concat(mark(i), F.substring(word, i, F.length(word)))),
         lambda p: F.length(F.regexp_replace(p, "^" + CONTINUED + "(?=.)", "")) > 1,
     )
-    usable = spread(counts).filter(F.length("word") <= MAX_WORD)
+    usable = counts.filter(F.length("word") <= MAX_WORD)
     pieces = (
         usable.select("n", F.explode(F.concat(characters, ends)).alias("token"))
         .groupBy("token")
@@ -133,7 +133,7 @@ def word_pieces(words: DataFrame, ids: dict[str, int]) -> DataFrame:
     A word that cannot be covered becomes the unknown token.
     """
     look_up = _look_up(words.sparkSession, ids)
-    return spread(words).select("word").distinct().withColumn("ids", look_up(F.array("word")))
+    return words.select("word").distinct().withColumn("ids", look_up(F.array("word")))
 
 
 def encode(df: DataFrame, ids: dict[str, int], text: str = "text", name: str = "ids") -> DataFrame:

@@ -83,10 +83,13 @@ def save_and_load(spark, sf_dir):
     return L.predict(L.load_model(path), part(rows, "test")).select("id", "y_pred", "score")
 
 
-@query("mdl_05_model_info")
+@query("mdl_05_model_info", """
+WITH c AS (SELECT count(DISTINCT quality) AS classes, 4096 + 1 AS parameters FROM labels)
+SELECT 'model' AS model, classes AS num_labels, parameters AS num_parameters,
+       round(parameters * 8 / 1048576.0, 6) AS model_size_mb FROM c""")
 def model_info(spark, sf_dir):
     rows = parts(spark, sf_dir)
-    return L.model_info(L.train(part(rows, "train"), features=1 << 12), rows)
+    return rounded(L.model_info(L.train(part(rows, "train"), features=1 << 12), rows))
 
 
 def trials(spark, sf_dir):
@@ -188,7 +191,7 @@ b AS (SELECT *, max(CASE WHEN before IS NULL OR eval_f1 > before THEN no END) OV
 s AS (SELECT *, min(CASE WHEN no - latest >= 3 THEN step END) OVER (PARTITION BY run) AS stop_step FROM b),
 k AS (SELECT * FROM s WHERE stop_step IS NULL OR step <= stop_step)
 SELECT run, arg_max(step, (eval_f1, -step)) AS best_step, round(max(eval_f1), 6) AS best_value,
-       max(stop_step) AS stop_step, count(*) AS evaluations FROM k GROUP BY run""")
+       coalesce(max(stop_step), -1) AS stop_step, count(*) AS evaluations FROM k GROUP BY run""")
 def checkpoints(spark, sf_dir):
     step = F.unix_timestamp(F.date_trunc("day", "ts"))
     log = (
@@ -196,7 +199,8 @@ def checkpoints(spark, sf_dir):
         .groupBy(F.col("event_type").alias("run"), step.alias("step"))
         .agg(F.avg("value").alias("eval_f1"))
     )
-    return rounded(L.best_checkpoints(log))
+    found = L.best_checkpoints(log)
+    return rounded(found.withColumn("stop_step", F.coalesce("stop_step", F.lit(-1))))
 
 
 @query("udf_01_map_batches", """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from textgrove.operators import evaluate as E
@@ -40,11 +41,28 @@ def load_one_split(spark, sf_dir):
 ROUND_TRIP = f"WITH {LABELLED} SELECT text, label FROM labelled"
 
 
+def map_parts(lines):
+    """Turn the records of each partition into one array, as data frame libraries write it."""
+
+    def bracket(batches):
+        mark = "["
+        for batch in batches:
+            for line in batch["value"]:
+                yield pd.DataFrame({"value": [mark + line]})
+                mark = ","
+        yield pd.DataFrame({"value": ["[]" if mark == "[" else "]"]})
+
+    return lines.mapInPandas(bracket, "value string")
+
+
 def round_trip(spark, sf_dir, fmt, schema=None):
     """Labelled texts written in a format, with a column to drop, and read back."""
     rows, path = labelled(spark, sf_dir).select("id", "text", "label"), new_path(spark, fmt)
     if fmt in ("csv", "tsv"):
         rows.write.csv(path, sep="\t" if fmt == "tsv" else ",", header=True, quote='"', escape='"')
+    elif fmt == "json":
+        lines = rows.select(F.to_json(F.struct("*")).alias("value")).repartition(8, "value")
+        map_parts(lines).write.text(path)
     else:
         rows.write.json(path)
     return R.read_labelled(spark, path, fmt=fmt, schema=schema)
@@ -60,6 +78,11 @@ def tsv(spark, sf_dir):
     return round_trip(spark, sf_dir, "tsv", "id long, text string, label int")
 
 
+@query("src_04_json", ROUND_TRIP)
+def json(spark, sf_dir):
+    return round_trip(spark, sf_dir, "json", "id long, text string, label int")
+
+
 @query("src_04_json_lines", ROUND_TRIP)
 def json_lines(spark, sf_dir):
     return round_trip(spark, sf_dir, "jsonl", "id long, text string, label int")

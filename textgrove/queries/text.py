@@ -168,7 +168,7 @@ def preview(spark, sf_dir):
 SELECT vec_id, label,
        CASE label WHEN 0 THEN 'World' WHEN 1 THEN 'Sports' WHEN 2 THEN 'Business'
                   WHEN 3 THEN 'Technology' ELSE 'LABEL_' || label END AS name,
-       CASE WHEN label < 4 THEN CAST(label AS INTEGER) END AS back
+       CASE WHEN label < 4 THEN CAST(label AS INTEGER) ELSE -1 END AS back
 FROM embeddings""")
 def label_names(spark, sf_dir):
     from textgrove.sources.catalogue import DATASETS
@@ -177,4 +177,4 @@ def label_names(spark, sf_dir):
     named = table(spark, sf_dir, "embeddings").select(
         "vec_id", "label", T.label_name(F.col("label"), names).alias("name")
     )
-    return named.withColumn("back", T.label_id(F.col("name"), names))
+    return named.withColumn("back", F.coalesce(T.label_id(F.col("name"), names), F.lit(-1)))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textgrove.functions.tokens import frame, pretokenize
 from textgrove.operators import tokens as K
-from textgrove.operators.scale import new_path, settle
+from textgrove.operators.scale import new_path, settle, spread
 from textgrove.queries.common import documents, labelled, query, table
 
 SIZE = 3000
@@ -54,8 +54,13 @@ encoded AS MATERIALIZED (
   ON d.doc_id = e.doc_id)"""
 
 
+def counted(docs):
+    """Word counts, written once: building and using a vocabulary both read them."""
+    return spread(settle(K.token_counts(docs), "counts"))
+
+
 def vocabulary(docs):
-    return K.build_vocabulary(settle(K.token_counts(docs), "counts"), SIZE)
+    return K.build_vocabulary(counted(docs), SIZE)
 
 
 def joined(column):
@@ -78,13 +83,13 @@ def load_vocabulary(spark, sf_dir):
 
 @query("tok_03_build_vocabulary", f"WITH {WORDS}, {VOCABULARY} SELECT token, id FROM vocabulary")
 def build_vocabulary(spark, sf_dir):
-    return K.build_vocabulary(K.token_counts(documents(spark, sf_dir)), SIZE)
+    return vocabulary(documents(spark, sf_dir))
 
 
 @query("tok_04_word_pieces", f"""
 WITH RECURSIVE {WORDS}, {VOCABULARY}, {PIECES} SELECT word, array_to_string(ids, ' ') AS ids FROM ids""")
 def word_pieces(spark, sf_dir):
-    counts = settle(K.token_counts(documents(spark, sf_dir)), "counts")
+    counts = counted(documents(spark, sf_dir))
     ids = K.vocabulary_ids(K.build_vocabulary(counts, SIZE))
     return K.word_pieces(counts, ids).select("word", joined("ids").alias("ids"))
 
