@@ -81,3 +81,10 @@ def test_trial_results(spark):
 def test_catalogue(spark):
     got = {r["name"]: r for r in C.catalogue(spark).collect()}
     assert got["amazon_polarity"]["text_column"] == "content" and got["emotion"]["num_labels"] == 6
+
+
+def test_copies_get_ids_of_their_own(spark):
+    copies = spark.createDataFrame([("same", 1)] * 50, "text string, label int").repartition(5)
+    numbered = R.with_id(copies)
+    assert numbered.select("id").distinct().count() == 50
+    assert numbered.exceptAll(numbered).count() == 0

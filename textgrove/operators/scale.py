@@ -6,6 +6,8 @@
 ``seeded_hash``     repeatable pseudo-random order of ids
 ``seeded_cuts``     the id at a wanted rank of that order, per stratum
 ``seeded_rank``     the rank itself
+
+The seeded operators expect a unique id; rows that share one stay together.
 """
 
 from __future__ import annotations

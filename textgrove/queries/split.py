@@ -125,13 +125,10 @@ def sample(spark, sf_dir):
 
 
 @query("spl_06_sample_rows", """
-SELECT l_orderkey * 8 + l_linenumber AS id FROM lineitem
-ORDER BY md5('7:' || CAST(l_orderkey * 8 + l_linenumber AS BIGINT)), id LIMIT 5000""")
+SELECT event_id AS id, event_type FROM events ORDER BY md5('7:' || event_id), event_id LIMIT 500""")
 def sample_rows(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).cast("long").alias("id")
-    )
-    return S.take_seeded(rows, "id", 5000, 7)
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "event_type")
+    return S.take_seeded(rows, "id", 500, 7)
 
 
 @query("spl_06_shuffled_rank", f"""

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+from textgrove.operators.scale import settle
+
 # Cells that data frame readers take as missing.
 MISSING = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -74,9 +76,10 @@ def read_labelled(
     return missing_to_null(df) if fmt in ("csv", "tsv") else df
 
 
-def with_id(df: DataFrame, text: str = "text", name: str = "id") -> DataFrame:
-    """Add an id made of the content, for files that have none.
+def with_id(df: DataFrame, name: str = "id") -> DataFrame:
+    """Number the rows of a table that has no id, copies of a row included.
 
-    Equal rows get the same id; number them at the source where that matters.
+    The numbered rows are written once and read back, so that the numbers stay
+    the same for every later use. They depend on how the files are split.
     """
-    return df.withColumn(name, F.xxhash64(*df.columns))
+    return settle(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
