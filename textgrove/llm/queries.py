@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textgrove.llm import decontaminate, simhash
+import corpus_pipeline
+from textgrove.llm import decontaminate, mixing, packing, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -43,7 +44,7 @@ b AS (
   FROM benchmark WHERE text IS NOT NULL),
 p AS (
   SELECT DISTINCT item, least(10, len(w)) AS m, unnest(list_transform(
-    range(1, greatest(len(w) - 10, 0) + 2), i -> array_to_string(w[i : i + least(10, len(w)) - 1], ' '))) AS s
+    range(1, greatest(len(w) - 10, 0) + 2), lambda i: array_to_string(w[i : i + least(10, len(w)) - 1], ' '))) AS s
   FROM b WHERE len(w) > 0),
 m AS (SELECT DISTINCT m FROM p),
 places AS (
@@ -69,3 +70,27 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of each document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_mix")
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that a mix of all sources at weights 5, 2, 1 takes from each document."""
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of each document and whether the voting rules keep it."""
+    rated = quality_rules.rate(table(spark, sf_dir, "documents"))
+    return rated.drop("votes")
+
+
+@query("op9_pack")
+def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of 2,048 token ids of all documents, best-fit-decreasing."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
