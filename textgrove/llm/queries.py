@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from textgrove.llm import decontaminate, mixing, packing, quality_rules, simhash
+from textgrove.llm import decontaminate, mixing, packing, quality_model, quality_rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,6 +91,12 @@ def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query("op10_quality_model")
+def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is of good quality, by a quadratic discriminant."""
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
