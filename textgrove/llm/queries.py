@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from textgrove.llm import decontaminate, mixing, packing, quality_model, quality_rules, simhash
+from textgrove.llm import decontaminate, mixing, packing, quality_model, quality_rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,6 +85,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.drop("votes")
 
 
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is toxic, by compression distance."""
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op9_pack")
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of 2,048 token ids of all documents, best-fit-decreasing."""
