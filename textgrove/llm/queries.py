@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from textgrove.llm import decontaminate, mixing, packing, quality_model, quality_rules, simhash, toxicity
+from textgrove.llm import brown, decontaminate, mixing, packing, quality_model, quality_rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,6 +91,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op8_brown_lm")
+def op8_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probability of each document under a class-based bigram model."""
+    return brown.score(table(spark, sf_dir, "documents"))
+
+
 @query("op9_pack")
 def op9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of 2,048 token ids of all documents, best-fit-decreasing."""
