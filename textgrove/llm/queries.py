@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from textgrove.llm import brown, decontaminate, mixing, packing, quality_model, quality_rules, simhash, toxicity
+from textgrove.llm import brown, chat, decontaminate, mixing, packing, quality_model, quality_rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -66,6 +66,24 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query(
+    "op2_chat_format",
+    """
+WITH c AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role NULLS FIRST, text NULLS FIRST) AS turns
+  FROM conversations GROUP BY conv_id),
+b AS (SELECT DISTINCT turns[1 : k] AS turns FROM (SELECT turns, unnest(range(1, len(turns))) AS k FROM c)),
+w AS (SELECT min(conv_id) AS conv_id, turns FROM c GROUP BY turns)
+SELECT conv_id, 0::BIGINT AS part, len(turns)::BIGINT AS n_turns, list_aggregate(list_transform(turns, lambda t:
+       '<|im_start|>' || replace(coalesce(t.role, 'unknown'), '<|', '< |') || chr(10)
+       || replace(coalesce(t.text, ''), '<|', '< |') || '<|im_end|>' || chr(10)), 'string_agg', '') AS text
+FROM w ANTI JOIN b USING (turns)""",
+)
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered conversations without the snapshots that longer ones begin with."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 @query("op3_simhash")
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash fingerprint and near-duplicate component of each document."""
