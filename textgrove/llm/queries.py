@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from textgrove.llm import brown, chat, decontaminate, mixing, packing, quality_model, quality_rules, simhash, toxicity
+from textgrove.llm import brown, chat, decontaminate, line_dedup, mixing, packing, quality_model, quality_rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -109,6 +109,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_line_dedup")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of each document that are equal or similar to earlier ones."""
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 @query("op8_brown_lm")
 def op8_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probability of each document under a class-based bigram model."""
