@@ -46,10 +46,10 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str, **more: Column) -> tu
     if "high" in facts and facts["ids"] == facts["n"] and (facts["n"] == 0 or (facts["low"] >= 0 and facts["high"] < 1 << (62 - bits))):
         return plain.withColumn("num", F.col("id").cast("long")), bits
     rows = settle(plain.withColumn("row", F.monotonically_increasing_id()), "rows")
-    order = rows.select("row", F.col("id").isNull().alias("none"), F.col("id").cast("string").alias("name"), F.lit(1).alias("one"))
     numeric = dict(plain.dtypes)["id"] in ("bigint", "int", "smallint", "tinyint")
-    order = order.withColumn("id", rows["id"]) if numeric else order
-    ranked = running_totals(order, ["none", "id" if numeric else "name", "row"], ["one"])
+    name = F.col("id") if numeric else F.col("id").cast("string")
+    order = rows.select("row", F.col("id").isNull().alias("none"), name.alias("name"), F.lit(1).alias("one"))
+    ranked = running_totals(order, ["none", "name", "row"], ["one"])
     return rows.join(ranked.select("row", F.col("one_before").cast("long").alias("num")), "row").drop("row"), bits
 
 
