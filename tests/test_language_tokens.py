@@ -24,12 +24,17 @@ def test_detect(spark):
     assert got == {1: "en", 2: "de", 3: "en", 4: "en", 5: "en", 6: "en"}
 
 
-def test_frequent_words_do_not_change_the_result(spark, monkeypatch):
-    rows = docs(spark).drop("lang")
-    all_known = L.detect(rows, L.build_profiles(docs(spark))).collect()
-    monkeypatch.setattr(L, "FREQUENT_WORDS", 2)
-    few_known = L.detect(rows, L.build_profiles(docs(spark))).collect()
-    assert sorted(all_known) == sorted(few_known) and {r["detected"] for r in few_known} == {"en", "de"}
+def test_large_profiles_are_joined_with_equal_results(spark):
+    rows, profiles = docs(spark).drop("lang"), L.build_profiles(docs(spark))
+    sent = L.detect(rows, profiles).collect()
+    joined = L.detect(rows, profiles, max_bytes=0).collect()
+    assert sorted(sent) == sorted(joined) and {r["detected"] for r in joined} == {"en", "de"}
+
+
+def test_stop_words_are_cut_like_texts(spark):
+    row = spark.createDataFrame([("they've said we'll go home", "en")], "text string, lang string")
+    kept = row.select(L.content_words(F.col("text"), F.col("lang"), L.default_stop_words()).alias("w")).first()["w"]
+    assert "ve" not in kept and "ll" not in kept and "home" in kept
 
 
 def test_trigrams(spark):
@@ -116,3 +121,15 @@ def test_tokenize_truncates(spark):
     assert len(got[1]["input_ids"]) == 16 and got[1]["input_ids"][0] == 2 and got[1]["input_ids"][-1] == 3
     assert got[2]["input_ids"] == [2, 5, 3] + [0] * 13 and got[2]["attention_mask"] == [1] * 3 + [0] * 13
     assert set(got[1].asDict()) == {"id", "input_ids", "attention_mask", "labels", "batch_id"}
+
+
+def test_long_words_count_in_full(spark, monkeypatch):
+    """Ends longer than those counted at once: as if all had been."""
+    monkeypatch.setattr(K, "SHORT", 4)
+    counts = spark.createDataFrame([("abcdefghij", 9), ("xbcdefghij", 5), ("short", 3), ("z" * 12, 1)], "word string, n long")
+    got = {r["token"]: r["id"] for r in K.build_vocabulary(counts, 60).collect()}
+    monkeypatch.setattr(K, "SHORT", 100)
+    assert got == {r["token"]: r["id"] for r in K.build_vocabulary(counts, 60).collect()}
+    assert "abcdefghij" in got and "##bcdefghij" in got
+    words = K.word_pieces(counts, K.vocabulary_ids(K.build_vocabulary(counts, 60))).collect()
+    assert {r["word"]: list(r["ids"]) for r in words}["abcdefghij"] == [got["abcdefghij"]]

@@ -88,3 +88,25 @@ def test_copies_get_ids_of_their_own(spark):
     numbered = R.with_id(copies)
     assert numbered.select("id").distinct().count() == 50
     assert numbered.exceptAll(numbered).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("name", "content", "schema"),
+    [
+        ("a.csv", "text,label\nfine,1\nsurplus,2,3\n", None),
+        ("b.csv", 'text,label\nfine,1\n"open,2\nlast,3\n', None),
+        ("c.csv", "text,label\nfine,1\nword,two\n", "text string, label int"),
+        ("d.jsonl", '{"text": "fine", "label": 1}\n{"text": "broken", \n', "text string, label int"),
+    ],
+)
+def test_bad_rows_are_errors(spark, tmp_path, name, content, schema):
+    path = tmp_path / name
+    path.write_text(content)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        R.read_file(spark, str(path), name.rsplit(".", 1)[1], schema).collect()
+
+
+def test_ids_do_not_depend_on_the_layout(spark):
+    rows = spark.createDataFrame([(f"t{i % 40}", i % 3) for i in range(120)] + [(None, 1), (None, None)], "text string, label int")
+    one, other = (sorted(map(tuple, R.with_id(rows.repartition(n)).collect()), key=lambda r: r[2]) for n in (1, 5))
+    assert one == other and [r[2] for r in one] == list(range(122))

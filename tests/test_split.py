@@ -48,10 +48,12 @@ def test_single_member_is_an_error(spark):
         S.stratified_split(spark.range(10).withColumn("label", (F.col("id") == 0).cast("int")), "id", "label")
 
 
-def test_too_many_classes_are_an_error(spark, monkeypatch):
-    monkeypatch.setattr(S, "MAX_STRATA", 3)
+def test_other_splits_are_dropped_kept_or_an_error(spark):
+    df = rows(spark, 100).withColumn("split", F.expr("array('train', 'test', 'validation', 'unsupervised', null)[id % 5]"))
+    assert sizes(S.prepare_splits(df, "id", "label"), "split") == {"train": 20, "test": 20, "validation": 20}
+    assert S.prepare_splits(df, "id", "label", others="keep").count() == 100
     with pytest.raises(ValueError):
-        S.stratified_split(spark.range(10).withColumn("label", F.col("id") % 5), "id", "label")
+        S.prepare_splits(df, "id", "label", others="error")
 
 
 def test_null_labels_form_a_class(spark):

@@ -4,6 +4,11 @@ The input is a table of scored rows, by default with the columns ``id``,
 ``y_true``, ``y_pred`` and ``score`` (probability of the positive class).
 Everything class-based starts from the counts of (true, predicted) pairs, so
 that one aggregation with map-side combining is the only pass over the rows.
+
+Nulls follow one rule: a null is a class of its own, equal only to a null. A
+row without a prediction is an error everywhere, has its cell in the confusion
+matrix and counts in every n. Curves rank only rows with a score and a label;
+``unranked`` counts the others.
 """
 
 from __future__ import annotations
@@ -18,6 +23,11 @@ from textgrove.operators.scale import match, running_totals
 MCNEMAR_CRITICAL = 3.841  # chi-squared, one degree of freedom, 5 %
 
 
+def is_right() -> Column:
+    """Whether the predicted class is the true one; never null."""
+    return F.col("y_true").eqNullSafe(F.col("y_pred"))
+
+
 def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
@@ -30,7 +40,7 @@ def pair_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 def per_class(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Precision, recall, F1 and support of every class seen or predicted (EVL-3)."""
     by = by or []
-    hit = F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(0)
+    hit = F.when(is_right(), F.col("n")).otherwise(0)
     sides = F.array(
         F.struct(F.col("y_true").alias("class"), hit.alias("tp"), F.col("n").alias("t"), F.lit(0).cast("long").alias("p")),
         F.struct(F.col("y_pred").alias("class"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("t"), F.col("n").alias("p")),
@@ -83,15 +93,15 @@ def per_class_table(scored: DataFrame, names: list[str], digits: int = 4) -> Dat
 def confusion(scored: DataFrame) -> DataFrame:
     """All cells of the confusion matrix with row-normalised shares (EVL-4, EVL-5).
 
-    A row without true members has null shares.
+    A row without true members has null shares. Null is a class if there is one,
+    and the cells add up to the number of rows.
     """
     counts = pair_counts(scored)
-    classes = counts.agg(
-        F.array_sort(F.array_union(F.collect_set("y_true"), F.collect_set("y_pred"))).alias("c")
-    )
+    found = F.array_distinct(F.flatten(F.collect_list(F.array("y_true", "y_pred"))))
+    classes = counts.agg(F.array_sort(found).alias("c"))
     grid = classes.select(F.explode("c").alias("y_true"), "c").select("y_true", F.explode("c").alias("y_pred"))
     rows = counts.groupBy("y_true").agg(F.sum("n").alias("_row"))
-    cells = grid.join(counts, ["y_true", "y_pred"], "left").join(rows, "y_true", "left")
+    cells = match(match(grid, counts, ["y_true", "y_pred"], "left"), rows, ["y_true"], "left")
     n = F.coalesce("n", F.lit(0))
     return cells.select("y_true", "y_pred", n.alias("n"), (n / F.col("_row")).alias("share"))
 
@@ -106,6 +116,7 @@ def confusion_wide(scored: DataFrame, classes: list) -> DataFrame:
 
 def _score_points(scored: DataFrame, score: str, positive: int) -> DataFrame:
     """Distinct scores, highest first, with the positives and negatives at and above each."""
+    scored = scored.filter(F.col(score).isNotNull() & F.col("y_true").isNotNull())
     is_positive = F.col("y_true").eqNullSafe(F.lit(positive))
     counted = scored.groupBy(F.col(score).alias("threshold")).agg(
         F.count_if(is_positive).alias("pos"), F.count_if(~is_positive).alias("neg")
@@ -114,6 +125,15 @@ def _score_points(scored: DataFrame, score: str, positive: int) -> DataFrame:
     return running_totals(ordered, ["_down"], ["pos", "neg"]).drop("_down")
 
 
+def unranked(scored: DataFrame, score: str = "score") -> DataFrame:
+    """Rows that curves leave out: without a score, without a label, all rows (EVL-6, EVL-7)."""
+    return scored.agg(
+        F.count_if(F.col(score).isNull()).alias("no_score"),
+        F.count_if(F.col("y_true").isNull()).alias("no_label"),
+        F.count("*").alias("n"),
+    )
+
+
 def roc_points(scored: DataFrame, score: str = "score", positive: int = 1) -> DataFrame:
     """ROC curve (EVL-6): one point per distinct score and the origin, ties merged."""
     share = lambda part, whole: F.when(F.col(whole) > 0, part / F.col(whole))
@@ -142,12 +162,12 @@ def roc_auc(scored: DataFrame, score: str = "score", positive: int = 1) -> DataF
 
 def errors(scored: DataFrame) -> DataFrame:
     """Misclassified rows (EVL-8)."""
-    return scored.filter(F.col("y_true") != F.col("y_pred"))
+    return scored.filter(~is_right())
 
 
 def error_rate(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows, errors, correct rows and error rate (EVL-9, EVL-12)."""
-    wrong = F.count_if(F.col("y_true") != F.col("y_pred"))
+    wrong = F.count_if(~is_right())
     return scored.groupBy(*(by or [])).agg(
         F.count("*").alias("n"),
         wrong.alias("incorrect"),
@@ -158,7 +178,8 @@ def error_rate(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def error_patterns(scored: DataFrame) -> DataFrame:
     """Errors per ``true -> predicted`` pattern, most frequent first (EVL-10)."""
-    pattern = F.concat_ws(" -> ", F.col("y_true").cast("string"), F.col("y_pred").cast("string"))
+    named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    pattern = F.concat_ws(" -> ", named("y_true"), named("y_pred"))
     return (
         errors(scored)
         .groupBy(pattern.alias("pattern"))
@@ -194,7 +215,7 @@ def score_histogram(scored: DataFrame, bins: int = 30, score: str = "score") ->
 
 def confidence_points(scored: DataFrame, id_col: str = "id") -> DataFrame:
     """Score and correctness of every row (EVL-14)."""
-    return scored.select(id_col, "score", (F.col("y_true") == F.col("y_pred")).cast("int").alias("correct"))
+    return scored.select(id_col, "score", is_right().cast("int").alias("correct"))
 
 
 def reliability(scored: DataFrame, bins: int = 10) -> DataFrame:
@@ -203,7 +224,7 @@ def reliability(scored: DataFrame, bins: int = 10) -> DataFrame:
     return scored.groupBy(band.alias("band")).agg(
         F.count("*").alias("n"),
         F.avg("score").alias("mean_score"),
-        F.avg((F.col("y_true") == F.col("y_pred")).cast("int")).alias("accuracy"),
+        F.avg(is_right().cast("int")).alias("accuracy"),
     )
 
 
@@ -231,10 +252,13 @@ def per_language(scored: DataFrame, base: str = "en", lang: str = "lang") -> Dat
 
 
 def compare_adaptation(zero_shot: DataFrame, fine_tuned: DataFrame, lang: str = "lang") -> DataFrame:
-    """Accuracy per language without and with own training data (EVL-17)."""
+    """Accuracy per language without and with own training data (EVL-17).
+
+    A language that only one side has keeps its row; the other accuracy is null.
+    """
     before = metrics(zero_shot, [lang]).select(lang, F.col("accuracy").alias("zero_shot"))
     after = metrics(fine_tuned, [lang]).select(lang, F.col("accuracy").alias("fine_tuned"))
-    return before.join(after, lang).withColumn("difference", F.col("fine_tuned") - F.col("zero_shot"))
+    return before.join(after, lang, "full").withColumn("difference", F.col("fine_tuned") - F.col("zero_shot"))
 
 
 def evaluate_split(scored: DataFrame, name: str = "test", split: str = "split") -> DataFrame:
@@ -253,7 +277,7 @@ def evaluate_split(scored: DataFrame, name: str = "test", split: str = "split")
 
 def confidence_by_outcome(scored: DataFrame) -> DataFrame:
     """Distribution of the score for right and wrong predictions (EVL-20)."""
-    outcome = scored.select((F.col("y_true") == F.col("y_pred")).cast("int").alias("correct"), "score")
+    outcome = scored.select(is_right().cast("int").alias("correct"), "score")
     return describe(outcome, "score", ["correct"])
 
 
@@ -264,14 +288,19 @@ def accuracy_by_length(scored: DataFrame, edges: list[int], length: str = "chars
         F.count("*").alias("n"),
         F.min(length).alias("shortest"),
         F.max(length).alias("longest"),
-        F.avg((F.col("y_true") == F.col("y_pred")).cast("int")).alias("accuracy"),
+        F.avg(is_right().cast("int")).alias("accuracy"),
     )
 
 
 def mcnemar(first: DataFrame, second: DataFrame, id_col: str = "id") -> DataFrame:
-    """McNemar test on two models' predictions of the same rows (EVL-22)."""
-    right = lambda df, name: df.select(id_col, (F.col("y_true") == F.col("y_pred")).alias(name))
-    both = right(first, "a").join(right(second, "b"), id_col)
+    """McNemar test on two models' predictions of the same rows (EVL-22).
+
+    A row that one model has not predicted is a wrong prediction of that model.
+    """
+    right = lambda df, name: df.select(id_col, is_right().alias(name))
+    both = right(first, "_a").join(right(second, "_b"), id_col, "full").select(
+        F.coalesce("_a", F.lit(False)).alias("a"), F.coalesce("_b", F.lit(False)).alias("b")
+    )
     b, c = F.count_if(F.col("a") & ~F.col("b")), F.count_if(~F.col("a") & F.col("b"))
     table = both.agg(b.alias("only_first"), c.alias("only_second"))
     gap = F.abs(F.col("only_first") - F.col("only_second")) - 1

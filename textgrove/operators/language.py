@@ -7,15 +7,20 @@ order of addition and are the same for any partitioning.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgrove.functions.text import clean_text
-from textgrove.operators.scale import settle, spread
+from textgrove.operators.scale import settle
 
 # Supported languages, those with a model, and the default.
 SUPPORTED = ["en", "es", "fr", "de", "it", "pt", "ru", "zh", "ja", "ar"]
@@ -35,8 +40,8 @@ STOP_WORD_LISTS = {
     "ru": "russian",
 }
 
-MAX_LANGUAGES = 1000
-FREQUENT_WORDS = 50_000  # words scored ahead of detection; the others go by trigram
+MAX_BYTES = 128 << 20  # of a profile in the memory of an executor
+MEMO = 200_000  # words whose scores a task remembers
 LETTERS = r"[\p{L}\p{M}]+"
 TOKENS = r"[\p{L}\p{M}\p{N}_]+"
 
@@ -57,11 +62,10 @@ def trigrams(word: Column) -> Column:
 
 @dataclass(frozen=True)
 class Profiles:
-    """Language profiles: trigram scores, and ready-made scores of frequent words."""
+    """Language profiles: ``(gram, scores)``, one score for each language in their order."""
 
     languages: list[str]
     grams: DataFrame
-    frequent: DataFrame
 
 
 def word_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -70,80 +74,116 @@ def word_counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFr
     return exploded.groupBy("lang", "word").agg(F.count("*").alias("n"))
 
 
-def gram_counts(counts: DataFrame, languages: list[str]) -> DataFrame:
-    """Occurrences of each trigram, one column per language."""
+def gram_counts(counts: DataFrame) -> DataFrame:
+    """Occurrences of each trigram and language."""
     grams = counts.select("lang", "n", F.explode(trigrams(F.col("word"))).alias("gram"))
-    of = lambda x: F.sum(F.when(F.col("lang") == x, F.col("n")).otherwise(0)).alias(x)
-    return grams.groupBy("gram").agg(*[of(x) for x in languages])
+    return grams.groupBy("gram", "lang").agg(F.sum("n").alias("n"))
 
 
 def build_profiles(df: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
     """Profiles of all languages in a table of texts with known language (LNG-1).
 
     Texts are read once; everything after that works on distinct words. Scores
-    are logarithms of add-one smoothed trigram shares.
+    are logarithms of add-one smoothed trigram shares. Languages are rows and
+    places in an array, never column names, so that any code will do.
     """
     known = df.filter(F.col(lang).isNotNull())
-    counts = spread(settle(word_counts(known, text, lang), "words"))
-    found = counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"{lang} has more than {MAX_LANGUAGES} values and names no languages")
-    languages = sorted(r["lang"] for r in found)
-    wide = settle(gram_counts(counts, languages), "grams")
-    sums = wide.agg(F.count("*").alias("_grams"), *[F.sum(f"`{x}`").alias(x) for x in languages]).first()
-    score = lambda x: F.round(F.log((F.col(x) + 1) / F.lit(float(sums[x] + sums["_grams"]))) * 1e6)
-    grams = settle(
-        wide.select("gram", *[score(x).cast("long").alias(x) for x in languages]), "profile"
+    counts = settle(gram_counts(word_counts(known, text, lang)), "grams")
+    sums = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    languages = sorted(sums)
+    n_grams = counts.select("gram").distinct().count()
+    by_lang = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
+    score = lambda m, x: F.round(
+        F.log((F.coalesce(F.try_element_at(m, F.lit(x)), F.lit(0)) + 1) / F.lit(float(sums[x] + n_grams))) * 1e6
+    ).cast("long")
+    wide = counts.groupBy("gram").agg(by_lang.alias("m"))
+    scores = F.array(*[score(F.col("m"), x) for x in languages]).cast("array<long>")
+    return Profiles(languages, settle(wide.select("gram", scores.alias("scores")), "profile"))
+
+
+def _total(scores: Column, n_languages: int) -> list[Column]:
+    return [F.sum(scores[i]) for i in range(n_languages)]
+
+
+def _detect_by_join(df: DataFrame, profiles: Profiles, id_col: str, text: str, name: str) -> DataFrame:
+    """Detection with a profile of any size: distinct words are scored, then summed up per text."""
+    size, spots = len(profiles.languages), F.col("scores")
+    used = df.select(F.col(id_col).alias("_id"), F.explode(words(F.col(text))).alias("word")).groupBy("_id", "word").agg(
+        F.count("*").alias("n")
     )
-    top = (
-        counts.groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.col("n").desc(), "word")
-        .limit(FREQUENT_WORDS)
+    grams = used.select("word").distinct().select("word", F.explode(trigrams(F.col("word"))).alias("gram"))
+    scored = grams.join(profiles.grams, "gram").groupBy("word").agg(F.array(*_total(spots, size)).alias("scores"))
+    sums = used.join(scored, "word").groupBy("_id").agg(F.array(*[F.sum(F.col("n") * spots[i]) for i in range(size)]).alias("s"))
+    places = F.array(*[F.lit(x) for x in profiles.languages])
+    best = sums.select("_id", F.get(places, (F.array_position("s", F.array_max("s")) - 1).cast("int")).alias("_found"))
+    return (
+        df.drop(name)
+        .join(best, F.col(id_col) == F.col("_id"), "left")
+        .withColumn(name, F.coalesce("_found", F.lit(DEFAULT)))
+        .drop("_id", "_found")
     )
-    return Profiles(languages, grams, settle(score_words(top, grams, languages), "frequent"))
-
-
-def score_words(table: DataFrame, grams: DataFrame, languages: list[str]) -> DataFrame:
-    """Score of each word per language: the sum over its trigrams."""
-    split = table.select("word", F.explode(trigrams(F.col("word"))).alias("gram"))
-    return split.join(grams, "gram").groupBy("word").agg(*[F.sum(x).alias(x) for x in languages])
 
 
-def detect_ids(
-    df: DataFrame, profiles: Profiles, id_col: str = "id", text: str = "text", name: str = "detected"
+def detect(
+    df: DataFrame,
+    profiles: Profiles,
+    id_col: str = "id",
+    text: str = "text",
+    name: str = "detected",
+    max_bytes: int = MAX_BYTES,
 ) -> DataFrame:
-    """Id and language of every text that has a known trigram (LNG-2).
+    """Add the language of every text (LNG-2); without evidence it is the default.
 
-    Frequent words bring their score along, the trigrams of the others are
-    looked up. Both tables are as large as the profile, not as the data, and
-    the scores are summed per text before anything is shuffled. Ties go to the
-    language that comes first in the alphabet.
+    The profile is sent to the executors and words are looked up in a narrow
+    Arrow step that remembers their scores: no text moves. A profile that takes
+    more than ``max_bytes`` there is joined with the distinct words instead.
+    Ties go to the language that comes first in the alphabet.
     """
     langs = profiles.languages
-    exploded = df.select(id_col, F.explode(words(F.col(text))).alias("word"))
-    scored = exploded.join(profiles.frequent, "word", "left")
-    rare = F.when(F.col(langs[0]).isNull(), trigrams(F.col("word")))
-    grams = profiles.grams.withColumnsRenamed({x: f"_{x}" for x in langs})
-    pieces = scored.select(id_col, *langs, F.explode_outer(rare).alias("gram")).join(grams, "gram", "left")
-    sums = pieces.groupBy(id_col).agg(*[F.sum(F.coalesce(x, f"_{x}")).alias(x) for x in langs])
-    best = F.greatest(*langs) if len(langs) > 1 else F.col(langs[0])
-    choice = F.coalesce(*[F.when(F.col(x) == best, F.lit(x)) for x in langs])
-    return sums.select(id_col, choice.alias(name)).filter(F.col(name).isNotNull())
-
-
-def detect(
-    df: DataFrame, profiles: Profiles, id_col: str = "id", text: str = "text", name: str = "detected"
-) -> DataFrame:
-    """Add the language of every text (LNG-2); without evidence it is the default."""
-    found = detect_ids(df, profiles, id_col, text, name)
-    return df.drop(name).join(found, id_col, "left").withColumn(name, F.coalesce(name, F.lit(DEFAULT)))
+    if not langs:
+        return df.withColumn(name, F.lit(DEFAULT))
+    size = profiles.grams.agg(F.sum(F.octet_length("gram") + 100 + 32 * len(langs))).first()[0] or 0
+    if size > max_bytes:
+        return _detect_by_join(df, profiles, id_col, text, name)
+    table = {r["gram"]: tuple(r["scores"]) for r in profiles.grams.collect()}
+    shared = df.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("string")
+    def language(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        grams, memo = shared.value, {}
+
+        def score(word: str):
+            marked = f"_{word}_"
+            found = [g for g in (grams.get(marked[i : i + 3]) for i in range(len(marked) - 2)) if g]
+            return tuple(map(sum, zip(*found, strict=True))) if found else None
+
+        for batch in batches:
+            out = []
+            for row in batch:
+                counted = Counter(() if row is None else row)
+                if len(memo) > MEMO:
+                    memo.clear()
+                known = []
+                for word, n in counted.items():
+                    if word not in memo:
+                        memo[word] = score(word)
+                    if memo[word] is not None:
+                        known.append((n, memo[word]))
+                if not known:
+                    out.append(DEFAULT)
+                    continue
+                sums = np.array([n for n, _ in known], np.int64) @ np.array([v for _, v in known], np.int64)
+                out.append(langs[int(sums.argmax())])
+            yield pd.Series(out, dtype="object")
+
+    return df.withColumn(name, language(words(F.col(text))))
 
 
 def route(given: Column | None, detected: Column, models: list[str] | None = None) -> Column:
     """Struct of the language to use and whether a model handles it (LNG-3).
 
-    A given language wins over the detected one.
+    A given language wins over the detected one. Chinese is routed to "model", but
+    is not cut into words and has no stop words here.
     """
     lang = F.coalesce(*([] if given is None else [given]), detected, F.lit(DEFAULT))
     has_model = lang.isin(WITH_MODEL if models is None else models)
@@ -155,9 +195,9 @@ def route(given: Column | None, detected: Column, models: list[str] | None = Non
 
 
 def default_stop_words() -> dict[str, list[str]]:
-    """Spark's stop word lists by language; there is none for Chinese."""
+    """Spark's stop word lists by language, cut into words as texts are; there is none for Chinese."""
     return {
-        lang: [w.lower() for w in StopWordsRemover.loadDefaultStopWords(name)]
+        lang: sorted({w for line in StopWordsRemover.loadDefaultStopWords(name) for w in re.findall(r"\w+", line.lower())})
         for lang, name in STOP_WORD_LISTS.items()
     }
 

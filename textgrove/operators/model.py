@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes
+from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -124,32 +124,33 @@ def tune(
 ) -> DataFrame:
     """Random search for the best weighted F1 on the validation rows (MDL-6).
 
-    Texts are cut into words once for all trials. A trial that fails counts 0.
-    Returns ``(trial_number, value, params)``.
+    Texts are cut into words once for all trials. A trial that fails counts 0
+    and tells its ``error``. Returns ``(trial_number, value, params, error)``.
     """
     words = lambda df: settle(tokenizer(text).transform(df).select("words", F.col(label).alias("label")), "words")
     fit_rows, check_rows = words(training), words(validation)
     spark = training.sparkSession
 
-    def run(params: dict) -> float:
+    def run(params: dict) -> tuple[float, str | None]:
         try:
             classifier = LogisticRegression(maxIter=params["maxIter"], regParam=params["regParam"])
             model = Pipeline(stages=[*weighted_terms(params["numFeatures"]), classifier]).fit(fit_rows)
             scored = model.transform(check_rows).select(
                 F.col("label").alias("y_true"), F.col("prediction").cast("int").alias("y_pred")
             )
-            return metrics(scored).first()["f1"] or 0.0
-        except Exception:
-            return 0.0
+            return metrics(scored).first()["f1"] or 0.0, None
+        except Exception as failure:
+            return 0.0, f"{type(failure).__name__}: {failure}"
 
     drawn = draw_params(trials, seed, space)
     with ThreadPool(parallelism) as pool:
         values = pool.map(run, drawn)
-    rows = [(i, v, p["regParam"], p["numFeatures"], p["maxIter"]) for i, (v, p) in enumerate(zip(values, drawn))]
+    rows = [(i, v, p["regParam"], p["numFeatures"], p["maxIter"], e) for i, ((v, e), p) in enumerate(zip(values, drawn))]
     flat = spark.createDataFrame(
-        rows, "trial_number int, value double, regParam double, numFeatures int, maxIter int"
+        rows, "trial_number int, value double, regParam double, numFeatures int, maxIter int, error string"
     )
-    return flat.select("trial_number", "value", F.struct("regParam", "numFeatures", "maxIter").alias("params"))
+    params = F.struct("regParam", "numFeatures", "maxIter").alias("params")
+    return flat.select("trial_number", "value", params, "error")
 
 
 def best_trial(trials: DataFrame) -> DataFrame:
@@ -164,7 +165,7 @@ def compare(
     """Train several kinds of model on the same features and score the same rows (MDL-8).
 
     Returns scored rows with a column ``model``, ready for ``compare_models``.
-    The support vector machine takes part when there are two classes.
+    The support vector machine separates two classes, or each of several from the rest.
     """
     prepared = Pipeline(stages=[tokenizer(text), *weighted_terms(features)]).fit(training)
     fields = lambda df: settle(prepared.transform(df).select(*df.columns, "features"), "features")
@@ -173,8 +174,11 @@ def compare(
         "logistic": LogisticRegression(labelCol=label, maxIter=20, regParam=1e-3),
         "bayes": NaiveBayes(labelCol=label),
     }
-    if fit_rows.select(label).distinct().count() == 2:
-        kinds["svm"] = LinearSVC(labelCol=label, maxIter=20, regParam=1e-3)
+    classes = fit_rows.select(label).distinct().count()
+    if classes < 2:
+        raise ValueError(f"{label} has {classes} classes; a comparison needs two")
+    svm = LinearSVC(labelCol=label, maxIter=20, regParam=1e-3)
+    kinds["svm"] = svm if classes == 2 else OneVsRest(labelCol=label, classifier=svm)
     parts = []
     for name, kind in kinds.items():
         rows = kind.fit(fit_rows).transform(test_rows)
@@ -229,7 +233,7 @@ def best_checkpoints(
     )
 
 
-def cluster_errors(errors: DataFrame, k: int = 5, text: str = "text", features: int = 1 << 12, seed: int = 42) -> DataFrame:
+def cluster_errors(errors: DataFrame, k: int = 5, text: str = "text", features: int = FEATURES, seed: int = 42) -> DataFrame:
     """Put misclassified texts with similar terms into groups (EVL-23)."""
     clusters = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed)
     model = Pipeline(stages=[tokenizer(text), *weighted_terms(features), clusters]).fit(errors)
@@ -237,13 +241,21 @@ def cluster_errors(errors: DataFrame, k: int = 5, text: str = "text", features:
 
 
 def term_weights(
-    df: DataFrame, top: int = 20, terms: int = 1 << 16, text: str = "text", label: str = "label", min_docs: float = 2.0
+    df: DataFrame,
+    top: int = 20,
+    terms: int | None = None,
+    text: str = "text",
+    label: str = "label",
+    min_docs: float = 1.0,
 ) -> DataFrame:
     """Terms that speak most for each class: ``(class, rank, term, weight)`` (EVL-24).
 
-    The model holds at most ``terms`` terms per class, so ranking them is a
-    matter of one array.
+    All terms take part, unless ``terms`` or ``min_docs`` says otherwise. The
+    fitted model holds a weight for each class and term.
     """
+    if terms is None:
+        words = tokenizer(text).transform(df).select(F.explode("words").alias("word"))
+        terms = max(1, words.distinct().count())
     counted = CountVectorizer(inputCol="words", outputCol="features", vocabSize=terms, minDF=min_docs)
     classifier = LogisticRegression(labelCol=label, maxIter=20, regParam=1e-3)
     model = Pipeline(stages=[tokenizer(text), counted, classifier]).fit(df)

@@ -15,8 +15,6 @@ from pyspark.sql.window import Window
 
 from textgrove.operators.scale import match, seeded_cuts, within
 
-MAX_STRATA = 100_000  # more distinct labels than this are no classes
-
 
 def largest_remainder(classes: DataFrame, size: str, total: int, take: int, by: str, name: str) -> DataFrame:
     """Share out ``take`` rows over classes in proportion to their sizes.
@@ -48,10 +46,8 @@ def _share_out(df: DataFrame, label: str, shares: dict[str, float]) -> DataFrame
     A share refers to the rows that the parts before it have left over.
     """
     classes = df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_size"))
-    facts = classes.agg(F.count("*"), F.min("_size"), F.sum("_size")).first()
-    n_classes, least, rest = facts[0], facts[1], facts[2] or 0
-    if n_classes > MAX_STRATA:
-        raise ValueError(f"{label} has {n_classes} values, too many for stratification")
+    facts = classes.agg(F.min("_size"), F.sum("_size")).first()
+    least, rest = facts[0], facts[1] or 0
     if least == 1:
         raise ValueError(f"a class of {label} has a single row and cannot be stratified")
     counts, taken, cuts = classes.withColumn("_rest", F.col("_size")), F.lit(0), []
@@ -140,12 +136,17 @@ def prepare_splits(
     test: float = 0.1,
     seed: int | str = 42,
     split: str = "split",
+    others: str = "drop",
 ) -> DataFrame:
     """Train, validation and test of any table (SPL-1 to SPL-5).
 
     Given train and test rows stay where they are, and a missing validation
-    part is carved out of train. A table without both is split afresh.
+    part is carved out of train. A table without both is split afresh. Rows of
+    given splits with another name or none are dropped, kept as they are or an
+    error, as ``others`` says: "drop", "keep" or "error".
     """
+    if others not in ("drop", "keep", "error"):
+        raise ValueError(f"others is drop, keep or error, not {others}")
     if split in df.columns:
         has = df.agg(
             *[
@@ -154,7 +155,10 @@ def prepare_splits(
             ]
         ).first()
         if has["train"] and has["test"]:
-            kept = df.filter(F.col(split).isin("train", "validation", "test"))
+            known = F.coalesce(F.col(split).isin("train", "validation", "test"), F.lit(False))
+            if others == "error" and not df.filter(~known).isEmpty():
+                raise ValueError(f"{split} has rows that are not train, validation or test")
+            kept = df.filter(known) if others == "drop" else df
             return kept if has["validation"] else carve_validation(kept, id_col, validation, seed, split)
         df = df.drop(split)
     return three_way_split(df, id_col, label, validation, test, seed)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,8 +15,8 @@ from textgrove.operators.scale import seeded_rank, settle
 # Special tokens, by role.
 SPECIALS = {"pad": "[PAD]", "unk": "[UNK]", "cls": "[CLS]", "sep": "[SEP]", "mask": "[MASK]"}
 CONTINUED = "##"  # mark of a piece that does not start a word
-MAX_WORD = 100  # longer words become the unknown token
-MAX_VOCABULARY = 2_000_000  # a vocabulary is sent to every executor
+SHORT = 100  # longer ends of words are counted only where their last characters are frequent enough
+MAX_BYTES = 256 << 20  # of a vocabulary, which is sent to every executor
 MEMO = 500_000  # words whose pieces a task remembers
 
 
@@ -24,7 +24,11 @@ def load_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """Vocabulary of a file with one token per line (TOK-2).
 
     The id is the line number from 0; of a repeated token the last line counts.
+    One file holds the vocabulary; more files with tokens are an error.
     """
+    names = spark.read.text(path).filter("value <> ''").select(F.input_file_name().alias("f")).distinct().limit(2)
+    if len(names.collect()) > 1:
+        raise ValueError(f"{path} holds more than one vocabulary file")
     lines = F.split(F.regexp_replace("value", "\n$", ""), "\n")
     numbered = spark.read.text(path, wholetext=True).select(F.posexplode(lines).alias("id", "token"))
     return numbered.groupBy("token").agg(F.max("id").alias("id"))
@@ -44,30 +48,36 @@ def token_counts(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def build_vocabulary(counts: DataFrame, size: int) -> DataFrame:
+def build_vocabulary(counts: DataFrame, size: int, max_word: int | None = None) -> DataFrame:
     """Vocabulary of a corpus from its word counts (TOK-3).
 
     Special tokens come first, then the characters in both forms, then the
-    most frequent words and word ends; ties go by the text of the piece.
+    most frequent words and word ends; ties go by the text of the piece. Words
+    of any length count, unless ``max_word`` leaves longer ones out.
     """
+    usable = counts if max_word is None else counts.filter(F.length("word") <= max_word)
     word = F.col("word")
-    starts = F.sequence(F.lit(1), F.length(word))
     mark = lambda i: F.when(i > 1, CONTINUED).otherwise("")
-    characters = F.transform(starts, lambda i: F.concat(mark(i), F.substring(word, i, F.lit(1))))
-    ends = F.filter(
-        F.transform(starts, lambda i: F.concat(mark(i), F.substring(word, i, F.length(word)))),
-        lambda p: F.length(F.regexp_replace(p, "^" + CONTINUED + "(?=.)", "")) > 1,
+    characters = F.transform(
+        F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(mark(i), F.substring(word, i, F.lit(1)))
     )
-    usable = counts.filter(F.length("word") <= MAX_WORD)
+    ends_from = lambda first: F.transform(
+        first, lambda i: F.concat(mark(i), F.substring(word, i, F.length(word)))
+    )
+    first_short = F.greatest(F.lit(1), F.length(word) - SHORT + 1)
+    ends = F.filter(ends_from(F.sequence(first_short, F.length(word))), lambda p: ~_single(p))
     pieces = (
         usable.select("n", F.explode(F.concat(characters, ends)).alias("token"))
         .groupBy("token")
         .agg(F.sum("n").alias("n"))
     )
-    single = F.length(F.regexp_replace("token", "^" + CONTINUED + "(?=.)", "")) == 1
     room = size - len(SPECIALS)
+    long_ones = usable.filter(F.length(word) > SHORT)
+    if not long_ones.isEmpty():
+        pieces = settle(pieces, "pieces")
+        pieces = pieces.unionByName(_long_ends(long_ones, pieces, room))
     top = (
-        pieces.withColumn("rank_class", F.when(single, 0).otherwise(1))
+        pieces.withColumn("rank_class", F.when(_single(F.col("token")), 0).otherwise(1))
         .orderBy("rank_class", F.col("n").desc(), "token")
         .limit(room)
     )
@@ -77,17 +87,42 @@ def build_vocabulary(counts: DataFrame, size: int) -> DataFrame:
     return counts.sparkSession.range(1).select(F.inline(special)).unionByName(numbered)
 
 
-def vocabulary_ids(vocabulary: DataFrame) -> dict[str, int]:
-    """The vocabulary as a dictionary, after a check of its size."""
-    rows = vocabulary.select("token", "id").limit(MAX_VOCABULARY + 1).collect()
-    if len(rows) > MAX_VOCABULARY:
-        raise ValueError(f"more than {MAX_VOCABULARY} tokens are not a vocabulary")
-    return {r["token"]: r["id"] for r in rows}
+def _single(piece: Column) -> Column:
+    """Whether a piece is one character, the mark aside."""
+    return F.length(F.regexp_replace(piece, "^" + CONTINUED + "(?=.)", "")) == 1
+
 
+def _long_ends(words: DataFrame, pieces: DataFrame, room: int) -> DataFrame:
+    """Counts of the ends of more than ``SHORT`` characters that may be among the ``room`` first.
 
-def _greedy(word: str, ids: dict[str, int], unknown: int, longest: int) -> list[int]:
+    An end is not more frequent than its own last characters. So ends are built
+    only of words whose last ``SHORT`` characters reach the count of the last
+    piece that has room.
+    """
+    least = pieces.orderBy(F.col("n").desc()).limit(room).agg(F.min("n")).first()[0] or 0
+    last = F.concat(F.lit(CONTINUED), F.substring("word", -SHORT, SHORT))
+    frequent = pieces.filter(F.col("n") >= least).select(F.col("token").alias("_last"))
+    built = words.withColumn("_last", last).join(frequent, "_last", "left_semi")
+    places = built.select("n", "word", F.explode(F.sequence(F.lit(1), F.length("word") - SHORT)).alias("i"))
+    end = F.concat(F.when(F.col("i") > 1, CONTINUED).otherwise(""), F.expr("substring(word, i)"))
+    return places.groupBy(end.alias("token")).agg(F.sum("n").alias("n"))
+
+
+def vocabulary_ids(vocabulary: DataFrame, max_bytes: int = MAX_BYTES) -> dict[str, int]:
+    """The vocabulary as a dictionary, after a check of its size in memory and of its ids."""
+    facts = vocabulary.agg(
+        F.sum(F.octet_length("token") + 100).alias("bytes"), F.count("*").alias("n"), F.count_distinct("id").alias("ids")
+    ).first()
+    if (facts["bytes"] or 0) > max_bytes:
+        raise ValueError(f"the vocabulary takes about {facts['bytes']} bytes of each executor; {max_bytes} are allowed")
+    if facts["ids"] != facts["n"]:
+        raise ValueError("tokens of the vocabulary share an id")
+    return {r["token"]: r["id"] for r in vocabulary.select("token", "id").collect()}
+
+
+def _greedy(word: str, ids: dict[str, int], unknown: int, longest: int, max_word: int | None) -> list[int]:
     found, at = [], 0
-    while at < len(word) <= MAX_WORD:
+    while at < len(word) and (max_word is None or len(word) <= max_word):
         mark = CONTINUED if at else ""
         for end in range(min(len(word), at + longest), at, -1):
             piece = ids.get(mark + word[at:end])
@@ -100,7 +135,7 @@ def _greedy(word: str, ids: dict[str, int], unknown: int, longest: int) -> list[
     return found or [unknown]
 
 
-def _look_up(spark: SparkSession, ids: dict[str, int]):
+def _look_up(spark: SparkSession, ids: dict[str, int], max_word: int | None):
     """Arrow function from words to piece ids; a task cuts each word once."""
     shared = spark.sparkContext.broadcast(ids)
     unknown = ids[SPECIALS["unk"]]
@@ -119,7 +154,7 @@ def _look_up(spark: SparkSession, ids: dict[str, int]):
                 for word in row:
                     pieces = memo.get(word)
                     if pieces is None:
-                        pieces = memo[word] = _greedy(word, table, unknown, longest)
+                        pieces = memo[word] = _greedy(word, table, unknown, longest, max_word)
                     out += pieces
                 encoded.append(out)
             yield pd.Series(encoded, dtype="object")
@@ -127,22 +162,25 @@ def _look_up(spark: SparkSession, ids: dict[str, int]):
     return look_up
 
 
-def word_pieces(words: DataFrame, ids: dict[str, int]) -> DataFrame:
+def word_pieces(words: DataFrame, ids: dict[str, int], max_word: int | None = None) -> DataFrame:
     """Piece ids of each distinct word by greedy longest match (TOK-4).
 
-    A word that cannot be covered becomes the unknown token.
+    A word that cannot be covered becomes the unknown token, and so does one of
+    more than ``max_word`` characters, where that is given.
     """
-    look_up = _look_up(words.sparkSession, ids)
+    look_up = _look_up(words.sparkSession, ids, max_word)
     return words.select("word").distinct().withColumn("ids", look_up(F.array("word")))
 
 
-def encode(df: DataFrame, ids: dict[str, int], text: str = "text", name: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, ids: dict[str, int], text: str = "text", name: str = "ids", max_word: int | None = None
+) -> DataFrame:
     """Add the piece ids of every text, in order and in full (TOK-4).
 
     Words are cut out in the JVM; looking them up is a narrow Arrow step, so
     that no text is taken apart and shuffled back together.
     """
-    look_up = _look_up(df.sparkSession, ids)
+    look_up = _look_up(df.sparkSession, ids, max_word)
     return df.withColumn(name, look_up(pretokenize(F.col(text))))
 
 

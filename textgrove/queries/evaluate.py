@@ -325,3 +325,71 @@ def relative_models(spark, sf_dir):
     columns = ["accuracy", "parameters"]
     table_ = comparison(spark, sf_dir).select("model", *columns)
     return rounded(E.relative_to(table_, "second", columns))
+
+
+# Scored rows in which some predictions, scores and labels are missing.
+GAPS = """
+gaps AS (
+  SELECT id, CASE WHEN id % 13 = 0 THEN NULL ELSE y_true END AS y_true,
+         CASE WHEN id % 7 = 0 THEN NULL ELSE y_pred END AS y_pred,
+         CASE WHEN id % 11 = 0 THEN NULL ELSE score END AS score FROM scored)"""
+
+
+def gaps(spark, sf_dir):
+    hole = lambda c, n: F.when(F.col("id") % n != 0, F.col(c)).alias(c)
+    return scored(spark, sf_dir).select("id", hole("y_true", 13), hole("y_pred", 7), hole("score", 11))
+
+
+@query("evl_01_accuracy_gaps", f"""
+WITH {scored_sql()}, {GAPS}
+SELECT count(*) AS n, round(avg(CASE WHEN y_true IS NOT DISTINCT FROM y_pred THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM gaps""")
+def accuracy_gaps(spark, sf_dir):
+    return rounded(E.metrics(gaps(spark, sf_dir)).select("n", "accuracy"))
+
+
+@query("evl_04_confusion_gaps", f"""
+WITH {scored_sql()}, {GAPS},
+c AS (SELECT y_true AS c FROM gaps UNION SELECT y_pred FROM gaps)
+SELECT a.c AS y_true, b.c AS y_pred, count(g.id) AS n
+FROM c a CROSS JOIN c b LEFT JOIN gaps g ON g.y_true IS NOT DISTINCT FROM a.c AND g.y_pred IS NOT DISTINCT FROM b.c
+GROUP BY ALL""")
+def confusion_gaps(spark, sf_dir):
+    return E.confusion(gaps(spark, sf_dir)).select("y_true", "y_pred", "n")
+
+
+@query("evl_07_roc_auc_gaps", f"""
+WITH {scored_sql()}, {GAPS},
+r AS (SELECT * FROM gaps WHERE score IS NOT NULL AND y_true IS NOT NULL)
+SELECT round(avg(CASE WHEN p.score > q.score THEN 1.0 WHEN p.score = q.score THEN 0.5 ELSE 0.0 END), 6) AS roc_auc
+FROM r p JOIN r q ON p.y_true = 1 AND q.y_true = 0""")
+def roc_auc_gaps(spark, sf_dir):
+    return rounded(E.roc_auc(gaps(spark, sf_dir)))
+
+
+@query("evl_06_unranked", f"""
+WITH {scored_sql()}, {GAPS}
+SELECT count(*) - count(score) AS no_score, count(*) - count(y_true) AS no_label, count(*) AS n FROM gaps""")
+def unranked(spark, sf_dir):
+    return E.unranked(gaps(spark, sf_dir))
+
+
+@query("evl_08_errors_gaps", f"""
+WITH {scored_sql()}, {GAPS} SELECT id FROM gaps WHERE y_true IS DISTINCT FROM y_pred""")
+def errors_gaps(spark, sf_dir):
+    return E.errors(gaps(spark, sf_dir)).select("id")
+
+
+@query("evl_09_error_rate_gaps", f"""
+WITH {scored_sql()}, {GAPS}
+SELECT count(*) AS n, count(*) FILTER (y_true IS DISTINCT FROM y_pred) AS incorrect,
+       count(*) FILTER (y_true IS NOT DISTINCT FROM y_pred) AS correct FROM gaps""")
+def error_rate_gaps(spark, sf_dir):
+    return E.error_rate(gaps(spark, sf_dir)).select("n", "incorrect", "correct")
+
+
+@query("evl_10_error_patterns_gaps", f"""
+WITH {scored_sql()}, {GAPS}
+SELECT coalesce(y_true::VARCHAR, 'null') || ' -> ' || coalesce(y_pred::VARCHAR, 'null') AS pattern, count(*) AS n
+FROM gaps WHERE y_true IS DISTINCT FROM y_pred GROUP BY 1""")
+def error_patterns_gaps(spark, sf_dir):
+    return E.error_patterns(gaps(spark, sf_dir))

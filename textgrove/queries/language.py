@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textgrove.operators import language as L
-from textgrove.queries.common import LABELLED, documents, labelled, query, table
+from textgrove.queries.common import LABELLED, SQL, documents, labelled, query, table
 from textgrove.queries.text import clean_sql
 
 LANGS = ["de", "en", "es", "fr"]  # languages of the documents
@@ -26,7 +26,8 @@ BEST = "greatest(" + ", ".join(LANGS) + ")"
 
 @query("lng_01_profiles", f"WITH {PROFILES} SELECT * FROM profile")
 def profiles(spark, sf_dir):
-    return L.build_profiles(documents(spark, sf_dir)).grams
+    found = L.build_profiles(documents(spark, sf_dir))
+    return found.grams.select("gram", *[F.col("scores")[i].alias(x) for i, x in enumerate(found.languages)])
 
 
 @query("lng_02_detect", rf"""
@@ -47,6 +48,20 @@ def detect(spark, sf_dir):
     return found.select("doc_id", "detected")
 
 
+# Codes that are also names of columns or no plain names.
+CODES = {"de": "id", "en": "a.b", "es": "word", "fr": "gram"}
+
+
+@query("lng_02_detect_odd_codes", SQL["lng_02_detect"].replace("coalesce(CASE", "coalesce(CASE CASE").replace(
+    "END, 'en') AS detected", "END " + " ".join(f"WHEN '{x}' THEN '{y}'" for x, y in CODES.items()) + " END, 'en') AS detected"
+))
+def detect_odd_codes(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", F.col("lang").alias("lang_code"), "text")
+    code = F.create_map(*[F.lit(v) for pair in CODES.items() for v in pair])[F.col("lang_code")]
+    found = L.detect(docs, L.build_profiles(docs.withColumn("lang", code)), "doc_id")
+    return found.select("doc_id", "detected")
+
+
 # A given language for some of the sources: one without a model, one unknown.
 def given():
     return F.when(F.col("source") == "src0", "ja").when(F.col("source") == "src1", "xx")

@@ -17,9 +17,6 @@ from textgrove.queries.text import clean_sql
 from textgrove.sources import sinks as S
 from textgrove.streaming import scoring
 
-SMALL = {"regParam": (1e-4, 1e-1), "numFeatures": [1 << 10, 1 << 12], "maxIter": (2, 5)}
-
-
 def parts(spark, sf_dir):
     """Labelled texts with a split, written once."""
     rows = three_way_split(labelled(spark, sf_dir), "id", "label")
@@ -32,7 +29,7 @@ def part(rows, name):
 
 def flagship(spark, sf_dir):
     """Clean, split, train, score the test rows and evaluate them."""
-    outcome = train_and_evaluate(labelled(spark, sf_dir, heavy=True), features=1 << 14)
+    outcome = train_and_evaluate(labelled(spark, sf_dir, heavy=True))
     return E.evaluate_split(outcome.scored, "test")
 
 
@@ -44,7 +41,7 @@ def train(spark, sf_dir):
 @query("mdl_02_predict")
 def predict(spark, sf_dir):
     rows = parts(spark, sf_dir)
-    model = L.train(part(rows, "train"), features=1 << 14)
+    model = L.train(part(rows, "train"))
     return L.predict(model, rows).select("id", "label", "split", "y_pred", "confidence", "score")
 
 
@@ -79,22 +76,22 @@ def softmax(spark, sf_dir):
 @query("mdl_04_save_and_load")
 def save_and_load(spark, sf_dir):
     rows, path = parts(spark, sf_dir), new_path(spark, "model")
-    L.save_model(L.train(part(rows, "train"), features=1 << 12), path)
+    L.save_model(L.train(part(rows, "train")), path)
     return L.predict(L.load_model(path), part(rows, "test")).select("id", "y_pred", "score")
 
 
 @query("mdl_05_model_info", """
-WITH c AS (SELECT count(DISTINCT quality) AS classes, 4096 + 1 AS parameters FROM labels)
+WITH c AS (SELECT count(DISTINCT quality) AS classes, 65536 + 1 AS parameters FROM labels)
 SELECT 'model' AS model, classes AS num_labels, parameters AS num_parameters,
        round(parameters * 8 / 1048576.0, 6) AS model_size_mb FROM c""")
 def model_info(spark, sf_dir):
     rows = parts(spark, sf_dir)
-    return rounded(L.model_info(L.train(part(rows, "train"), features=1 << 12), rows))
+    return rounded(L.model_info(L.train(part(rows, "train")), rows))
 
 
 def trials(spark, sf_dir):
     rows = parts(spark, sf_dir)
-    return L.tune(part(rows, "train"), part(rows, "validation"), trials=3, space=SMALL)
+    return L.tune(part(rows, "train"), part(rows, "validation"))
 
 
 @query("mdl_06_tune")
@@ -112,7 +109,7 @@ def trial_results(spark, sf_dir):
 @query("snk_04_final_results")
 def final_results(spark, sf_dir):
     path = new_path(spark, "final")
-    found = train_and_evaluate(labelled(spark, sf_dir, heavy=True), features=1 << 12).results
+    found = train_and_evaluate(labelled(spark, sf_dir, heavy=True)).results
     S.write_json(found, path)
     return S.read_json(spark, path, found.schema)
 
@@ -149,7 +146,7 @@ def best_trial(spark, sf_dir):
 @query("mdl_08_compare")
 def compare(spark, sf_dir):
     rows = parts(spark, sf_dir)
-    return E.compare_models(L.compare(part(rows, "train"), part(rows, "test"), features=1 << 12))
+    return E.compare_models(L.compare(part(rows, "train"), part(rows, "test")))
 
 
 @query("mdl_09_cross_lingual")
@@ -169,7 +166,7 @@ def stream_clean(spark, sf_dir):
 
 @query("mdl_10_stream_scores")
 def stream_scores(spark, sf_dir):
-    model = L.train(part(parts(spark, sf_dir), "train"), features=1 << 12)
+    model = L.train(part(parts(spark, sf_dir), "train"))
     schema = table(spark, sf_dir, "documents").schema
     rows = scoring.watch(spark, sf_dir, schema, glob="documents.parquet").select("doc_id", "text")
     scores = scoring.score_stream(rows, model).select("doc_id", "y_pred", "confidence", "score")

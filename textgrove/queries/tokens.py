@@ -113,7 +113,7 @@ def framed(spark, sf_dir):
 
 
 PADDED = """
-framed AS (SELECT e.doc_id, l.quality AS labels, list_concat(list_concat([2], ids[1:126]), [3]) AS ids
+framed AS (SELECT e.doc_id, l.quality AS labels, list_concat(list_concat([2], ids[1:510]), [3]) AS ids
            FROM encoded e JOIN labels l ON e.doc_id = l.doc_id),
 ranked AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY md5('42:' || doc_id), doc_id) - 1) / 32.0) AS BIGINT) AS batch_id FROM framed),
 sized AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS longest FROM ranked)"""
@@ -127,7 +127,7 @@ SELECT doc_id AS id, batch_id, labels,
 @query("tok_06_pad_batches", f"WITH RECURSIVE {ENCODED}, {PADDED} {PADDED_SELECT}")
 def pad_batches(spark, sf_dir):
     vocab = vocabulary(documents(spark, sf_dir))
-    rows = K.tokenize(labelled(spark, sf_dir, heavy=True), vocab, max_length=128, batch_size=32)
+    rows = K.tokenize(labelled(spark, sf_dir, heavy=True), vocab, max_length=512, batch_size=32)
     return rows.select(
         "id", "batch_id", "labels",
         joined("input_ids").alias("input_ids"), joined("attention_mask").alias("attention_mask"),
@@ -136,11 +136,11 @@ def pad_batches(spark, sf_dir):
 
 @query("tok_07_tokenize", f"""
 WITH RECURSIVE {ENCODED}, {PADDED},
-fixed AS (SELECT * REPLACE (128 AS longest), NULL AS nothing FROM sized)
+fixed AS (SELECT * REPLACE (512 AS longest), NULL AS nothing FROM sized)
 {PADDED_SELECT.replace('batch_id, ', '').replace('FROM sized', 'FROM fixed')}""")
 def tokenize(spark, sf_dir):
     vocab = vocabulary(documents(spark, sf_dir))
-    rows = K.tokenize(labelled(spark, sf_dir, heavy=True), vocab, max_length=128, batch_size=None)
+    rows = K.tokenize(labelled(spark, sf_dir, heavy=True), vocab, max_length=512, batch_size=None)
     return rows.select(
         "id", "labels", joined("input_ids").alias("input_ids"), joined("attention_mask").alias("attention_mask")
     )

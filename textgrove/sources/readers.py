@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
+from pyspark.sql.window import Window
 
-from textgrove.operators.scale import settle
+from textgrove.operators.scale import running_totals, settle
 
 # Cells that data frame readers take as missing.
 MISSING = [
@@ -19,10 +20,14 @@ FORMATS = ("csv", "tsv", "json", "jsonl", "parquet")
 
 def read_file(
     spark: SparkSession, path: str, fmt: str = "csv", schema: StructType | str | None = None,
-    multiline: bool = True,
+    multiline: bool = True, mode: str = "FAILFAST",
 ) -> DataFrame:
     """A file or folder in one of the formats (SRC-2 to SRC-4).
 
+    Rows that do not fit, such as surplus cells, an unclosed quote, broken JSON
+    or a word under a number, are an error; other Spark modes are "PERMISSIVE"
+    and "DROPMALFORMED".
+
     Without a schema the types are inferred, at the price of a pass over the
     file. Quoted cells may hold line breaks, which keeps a CSV file in one
     piece; pass ``multiline=False`` for large files without such cells, or give
@@ -40,10 +45,11 @@ def read_file(
             escape='"',
             multiLine=multiline,
             inferSchema=schema is None,
+            mode=mode,
         )
     if fmt == "parquet":
         return reader.parquet(path)
-    return reader.json(path, multiLine=fmt == "json")
+    return reader.json(path, multiLine=fmt == "json", mode=mode)
 
 
 def missing_to_null(df: DataFrame) -> DataFrame:
@@ -69,9 +75,10 @@ def read_labelled(
     schema: StructType | str | None = None,
     multiline: bool = True,
     keep: list[str] | None = None,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """Text and label columns of a file, all others dropped but for ``keep`` (SRC-6)."""
-    df = require(read_file(spark, path, fmt, schema, multiline), text, label, *(keep or []))
+    df = require(read_file(spark, path, fmt, schema, multiline, mode), text, label, *(keep or []))
     df = df.select(text, label, *(keep or []))
     return missing_to_null(df) if fmt in ("csv", "tsv") else df
 
@@ -79,7 +86,24 @@ def read_labelled(
 def with_id(df: DataFrame, name: str = "id") -> DataFrame:
     """Number the rows of a table that has no id, copies of a row included.
 
-    The numbered rows are written once and read back, so that the numbers stay
-    the same for every later use. They depend on how the files are split.
+    The number is the place in the order of a 128-bit hash of the content, so
+    that it does not depend on files or partitions; copies take places in a row.
+    Copies are counted where they lie, so that many of them are no large group.
     """
-    return settle(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    values = [F.col(f"`{c}`").cast("string") for c in df.columns]
+    content = F.to_json(F.array(*values), {"ignoreNullFields": "false"})
+    keyed = settle(
+        df.select(
+            F.struct("*").alias("row"),
+            F.xxhash64(content).alias("h1"),
+            F.xxhash64(F.lit(1), content).alias("h2"),
+            F.spark_partition_id().alias("part"),
+            F.monotonically_increasing_id().alias("seen"),
+        ),
+        "keyed",
+    )
+    copies = keyed.groupBy("h1", "h2", "part").agg(F.count("*").alias("n"))
+    placed = running_totals(copies, ["h1", "h2", "part"], ["n"]).select("h1", "h2", "part", "n_before")
+    nth = F.row_number().over(Window.partitionBy("h1", "h2", "part").orderBy("seen"))
+    numbered = keyed.join(placed, ["h1", "h2", "part"]).withColumn(name, F.col("n_before") + nth - 1)
+    return settle(numbered.select("row.*", F.col(name).cast("long").alias(name)), "numbered")
