@@ -119,6 +119,17 @@ def clean_text_all_steps(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", cleaned.alias("text"))
 
 
+INSERTED = r"regexp_replace(regexp_replace(regexp_replace(text, '\bthe\b', 'DON''t', 'g'), '\bis\b', 'It''s', 'g'), '\band\b', 'we''ve', 'g')"
+
+
+@query("txt_10_clean_contractions", f"SELECT doc_id, {clean_sql(INSERTED)} AS text FROM documents")
+def clean_contractions(spark, sf_dir):
+    source = F.regexp_replace("text", r"\bthe\b", "DON't")
+    source = F.regexp_replace(F.regexp_replace(source, r"\bis\b", "It's"), r"\band\b", "we've")
+    rows = documents(spark, sf_dir).select("doc_id", source.alias("text"))
+    return rows.select("doc_id", T.clean_text(F.col("text")).alias("text"))
+
+
 @query("txt_10_clean_pages", f"SELECT page_id, {clean_sql('html')} AS text FROM pages")
 def clean_pages(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", T.clean_text(F.col("html")).alias("text"))
