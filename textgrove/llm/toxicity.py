@@ -178,8 +178,9 @@ def classify(
     """``(id, held_out, score, predicted)`` of every row; ``score`` is the probability of label 1.
 
     Learned from a bounded sample, on the driver: up to ``rows`` labelled rows of each label outside
-    the test fold, whole texts of up to ``row_chars`` characters, the first by a seeded hash. The
-    curve weighs them by the true counts of the labels. All windows of every text of any length are
+    the test fold, whole texts of up to ``row_chars`` characters, the first by a seeded hash of the
+    id. Ids are chosen first, and as there are ``rows`` at most, they are sent to the documents. The
+    curve weighs the rows by the true counts of the labels. All windows of every text of any length are
     compressed; null and empty texts have none and get the curve's value at zero. Null labels and
     ids without a document are left out. Without labels of both classes every score is the share of
     label 1, 0.5 if there is none. Null ids and repeated rows are scored each; an empty table gives
@@ -188,13 +189,14 @@ def classify(
     known = labels.select(column(id_col).alias("id"), column(label_col).cast("int").alias("label"))
     known = known.filter(F.col("label").isin(0, 1) & ~held_out("id", folds, fold))
     plain = docs.select(column(id_col).alias("id"), column(text_col).alias("text"))
-    learned = plain.join(known, "id").filter(F.length("text") <= row_chars)
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    order = F.xxhash64(F.lit(seed), "id", "text")
-    texts = {
-        k: [r["text"] for r in learned.filter(F.col("label") == k).orderBy(order, "text").limit(rows).select("text").collect()]
-        for k in (0, 1)
-    }
+    there = plain.filter(F.length("text") <= row_chars).select("id").distinct()
+    texts = {}
+    for label in (0, 1):
+        ids = known.filter(F.col("label") == label).select("id").distinct().join(there, "id", "left_semi")
+        chosen = ids.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(rows)
+        found = plain.join(F.broadcast(chosen), "id").filter(F.length("text") <= row_chars)
+        texts[label] = [r["text"] for r in found.orderBy(F.xxhash64(F.lit(seed), "id"), "id", "text").limit(rows).collect()]
     if not (texts[0] and texts[1]):
         total = sum(counts.values())
         score = F.lit(counts.get(1, 0) / total if total else 0.5)
