@@ -100,3 +100,14 @@ def test_running_totals(spark):
         assert r["v_before"] == by_group.get(r["g"], 0)
         by_group[r["g"]] = r["v_before"] + r["v"]
     assert all(by_group[r["g"]] == r["v_total"] for r in got) and len(got) == 500
+
+
+def test_release_leaves_no_intermediate_tables(spark, tmp_path, monkeypatch):
+    from textgrove.operators import scale
+
+    monkeypatch.setattr(scale, "shared_folder", lambda _: str(tmp_path))
+    out = tmp_path / "result"
+    S.three_way_split(rows(spark, 50), "id", "label").write.parquet(str(out))
+    assert len(list(tmp_path.iterdir())) == 2
+    scale.release(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["result"]

@@ -1,6 +1,7 @@
 """Building blocks that keep large jobs spread over the cluster.
 
 ``settle``          write an intermediate table once and read it back
+``release``         delete all of them at the end of a job
 ``match``           equi-join that keeps rows with null keys
 ``running_totals``  cumulative sums over a total order, without one big sort task
 ``seeded_hash``     repeatable pseudo-random order of ids
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+LOCAL: dict[str, str] = {}  # folders of local sessions for which none is set
 BUCKET_DIGITS = 4  # hex digits of the hash that name a bucket: 65,536 buckets
 
 
@@ -29,14 +31,29 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = LOCAL.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="run-")
+        LOCAL[spark.sparkContext.applicationId] = folder
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder of this application inside the shared one; all intermediate tables are below it."""
+    return f"{shared_folder(spark).rstrip('/')}/textgrove-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """Unused path for a table or stream in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """Unused path for a table or stream in the folder of this application."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application.
+
+    For the end of a job, when its results are written elsewhere: tables that
+    operators returned may still be read from there.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
@@ -52,14 +69,14 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, few_files: int = 16) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of an input that sits in a handful of small files.
 
-    A table of many files or splits is returned as it is, without a shuffle.
-    Meant for tables just read: asking a longer plan for its partitions runs it.
+    A table of at least as many splits as cores is returned as it is, without a
+    shuffle. Meant for tables just read: asking a longer plan for its partitions runs it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= few_files or df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
 
