@@ -18,7 +18,7 @@ from textgrove.operators.scale import match, running_totals, settle
 
 WEIGHTS = (5, 2, 1)
 #: Rows of a source in one group of the first level, and undecided rows in one group of the later ones.
-GROUP, FAN = 1 << 14, 64
+GROUP, FAN = 1 << 12, 64
 MASK = (1 << 64) - 1
 
 
