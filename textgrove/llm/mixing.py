@@ -20,6 +20,9 @@ WEIGHTS = (5, 2, 1)
 #: Rows of a source in one group of the first level, and undecided rows in one group of the later ones.
 GROUP, FAN = 1 << 12, 64
 MASK = (1 << 64) - 1
+#: Nearer to 0 or 1 than this, a probability is one of them.
+NEAR = 1e-9
+DECIDED = "p <= 0 or p >= 1"
 
 
 def _draw(a: int, b: int, seed: int) -> float:
@@ -30,6 +33,11 @@ def _draw(a: int, b: int, seed: int) -> float:
     return ((x ^ (x >> 31)) >> 11) / (1 << 53)
 
 
+def _snapped(p: float) -> float:
+    """``p`` without what rounding left beside 0 and 1."""
+    return 0.0 if p < NEAR else 1.0 if p > 1 - NEAR else p
+
+
 def pivot(rows: list[tuple[int, int, float]], seed: int = 42) -> list[float]:
     """Rounds the probabilities of (key, size, p) in the given order; one at most stays fractional.
 
@@ -52,6 +60,7 @@ def pivot(rows: list[tuple[int, int, float]], seed: int = 42) -> list[float]:
         else:
             full = q * other <= (1 - p) * size
             out[i], out[j] = (0.0, p + down / size) if full else (q - down / other, 1.0)
+        out[i], out[j] = _snapped(out[i]), _snapped(out[j])
         held = next((k for k in (i, j) if 0 < out[k] < 1), None)
     return out
 
@@ -67,17 +76,17 @@ def _pivoted(seed: int):
 
 def _decide(rows: DataFrame, seed: int) -> DataFrame:
     """``rows`` with ``p`` 0 or 1; they have ``source, size, key, p, groups`` (groups of the source) and more."""
-    done = rows.filter("p = 0 or p = 1 or size = 0").withColumn(
+    done = rows.filter(f"{DECIDED} or size = 0").withColumn(
         "p", F.when(F.col("size") == 0, F.round("p")).otherwise(F.col("p"))
     )
-    open_rows = rows.filter("p > 0 and p < 1 and size > 0").withColumn("group", F.expr("pmod(key, groups)"))
+    open_rows = rows.filter(f"not ({DECIDED} or size = 0)").withColumn("group", F.expr("pmod(key, groups)"))
     columns = rows.columns
     left = True
     while left:
         schema = open_rows.schema
         level = settle(open_rows.groupBy("source", "group").applyInPandas(_pivoted(seed), schema), "level")
-        done = done.union(level.filter("p = 0 or p = 1").select(columns))
-        undecided = level.filter("p > 0 and p < 1")
+        done = done.union(level.filter(DECIDED).select(columns))
+        undecided = level.filter(f"not ({DECIDED})")
         last = undecided.filter("groups = 1").withColumn("p", F.round("p"))
         done = done.union(last.select(columns))
         open_rows = (
