@@ -30,8 +30,8 @@ POOL, MEMO = 1 << 22, 1 << 18
 def tokenizer(path: str = VOCABULARY, pattern: str = PATTERN) -> Callable[[str], list[int]]:
     """Text to ids by a byte-level vocabulary file of ranks.
 
-    The pattern always cuts before a single space between other characters than spaces, so that
-    texts without double spaces are cut there and the ids of each part are remembered.
+    The pattern always cuts before a single space between characters that are not white space, so
+    that texts with no other spaces are cut there and the ids of each part are remembered.
     """
     import tiktoken
 
@@ -40,10 +40,11 @@ def tokenizer(path: str = VOCABULARY, pattern: str = PATTERN) -> Callable[[str],
     encode = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     class Memo(dict):
-        def __missing__(self, part: str) -> list[int]:
+        def __missing__(self, part: str) -> list[int] | None:
             if len(self) >= MEMO:
                 self.clear()
-            self[part] = ids = encode(part)
+            # white space at an end of the part may touch a space: the text is not cut
+            self[part] = ids = None if not part.strip() or part[1:2].isspace() or part[-1].isspace() else encode(part)
             return ids
 
     memo = Memo()
@@ -52,7 +53,8 @@ def tokenizer(path: str = VOCABULARY, pattern: str = PATTERN) -> Callable[[str],
         if "  " in text:
             return encode(text)
         first, *rest = text.split(" ")
-        return memo[first] + list(chain.from_iterable([memo[" " + part] for part in rest]))
+        parts = [memo[first] if first else [], *[memo[" " + part] for part in rest]]
+        return encode(text) if None in parts else list(chain.from_iterable(parts))
 
     return ids
 
