@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from textgrove.llm import brown, chat, decontaminate, line_dedup, mixing, packing, quality_model, quality_rules, simhash, toxicity
+from textgrove.llm import brown, chat, decontaminate, exact, line_dedup, mixing, packing, quality_model, quality_rules, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -133,6 +133,18 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query(
+    "op11_exact_dedup",
+    """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept,
+       sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents) WINDOW w AS (PARTITION BY t)""",
+)
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of equal texts and the row of each that stays."""
+    return exact.duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
