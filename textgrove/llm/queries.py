@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from textgrove.llm import brown, chat, decontaminate, exact, line_dedup, mixing, packing, quality_model, quality_rules, simhash, toxicity
+from textgrove.llm import brown, chat, decontaminate, exact, line_dedup, mixing, packing, quality_model, quality_rules, repair, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -145,6 +146,13 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op12_repair")
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of each conversation after a damage by hash."""
+    rows = repair.damaged(table(spark, sf_dir, "conversations"))
+    return repair.report(rows, copies=F.col("copies"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
