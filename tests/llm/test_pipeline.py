@@ -20,7 +20,7 @@ def test_agrees_with_sql(spark, duck, sf_dir, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES if n != "pipeline")
-    assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in queries.QUERIES
 
 
 def test_stages_take_effect(spark, docs, texts, sf_dir):

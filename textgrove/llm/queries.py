@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from textgrove.llm import brown, chat, decontaminate, exact, line_dedup, mixing, packing, quality_model, quality_rules, repair, simhash, toxicity
+from textgrove.llm import brown, chat, decontaminate, exact, line_dedup, mixing, packing, quality_model, quality_rules, repair, simhash, spelling, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -153,6 +153,12 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.report(rows, copies=F.col("copies"))
 
 
+@query("op13_spelling")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent word at one edit that they are a variant of."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
