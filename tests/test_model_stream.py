@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from textgrove.functions import vectors as V
 from textgrove.operators import model as L
 from textgrove.operators.scale import new_path
+from textgrove.operators.terms import term_weights
 from textgrove.plans.workflow import examine, explore, train_and_evaluate
 from textgrove.streaming import scoring
 
@@ -48,7 +49,7 @@ def test_three_classes(spark):
     m = L.train(df, features=64, max_iter=5)
     assert L.predict(m, df).filter("y_pred <> label").count() == 0
     assert len(L.predict(m, df).first()["probabilities"]) == 3
-    assert L.term_weights(df, 1, min_docs=1.0).select("term").orderBy("class").collect()[2][0] == "c2"
+    assert term_weights(df, 1).select("term").orderBy("class").collect()[2][0] == "c2"
 
 
 def test_softmax_and_argmax(spark):

@@ -39,15 +39,18 @@ def pair_counts(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def per_class(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Precision, recall, F1 and support of every class seen or predicted (EVL-3)."""
-    by = by or []
+    return per_class_of(pair_counts(scored, by), by or [])
+
+
+def per_class_of(counts: DataFrame, by: list[str]) -> DataFrame:
+    """``per_class`` from ``n`` rows of each true and predicted class."""
     hit = F.when(is_right(), F.col("n")).otherwise(0)
     sides = F.array(
         F.struct(F.col("y_true").alias("class"), hit.alias("tp"), F.col("n").alias("t"), F.lit(0).cast("long").alias("p")),
         F.struct(F.col("y_pred").alias("class"), F.lit(0).cast("long").alias("tp"), F.lit(0).cast("long").alias("t"), F.col("n").alias("p")),
     )
     sums = (
-        pair_counts(scored, by)
-        .select(*by, F.explode(sides).alias("s"))
+        counts.select(*by, F.explode(sides).alias("s"))
         .groupBy(*by, F.col("s.class").alias("class"))
         .agg(*[F.sum(f"s.{c}").alias(c) for c in ("tp", "t", "p")])
     )
@@ -66,10 +69,15 @@ def per_class(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
 
 def metrics(scored: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Accuracy and support-weighted precision, recall and F1 (EVL-1, EVL-2)."""
+    return metrics_of(pair_counts(scored, by), by or [])
+
+
+def metrics_of(counts: DataFrame, by: list[str]) -> DataFrame:
+    """``metrics`` from ``n`` rows of each true and predicted class."""
     weighted = lambda c: (F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(c)
     return (
-        per_class(scored, by)
-        .groupBy(*(by or []))
+        per_class_of(counts, by)
+        .groupBy(*by)
         .agg(
             (F.sum("tp") / F.sum("support")).alias("accuracy"),
             weighted("precision"),

@@ -6,11 +6,10 @@ import math
 import random
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -238,33 +237,3 @@ def cluster_errors(errors: DataFrame, k: int = 5, text: str = "text", features:
     clusters = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=seed)
     model = Pipeline(stages=[tokenizer(text), *weighted_terms(features), clusters]).fit(errors)
     return model.transform(errors).select(*errors.columns, "cluster")
-
-
-def term_weights(
-    df: DataFrame,
-    top: int = 20,
-    terms: int | None = None,
-    text: str = "text",
-    label: str = "label",
-    min_docs: float = 1.0,
-) -> DataFrame:
-    """Terms that speak most for each class: ``(class, rank, term, weight)`` (EVL-24).
-
-    All terms take part, unless ``terms`` or ``min_docs`` says otherwise. The
-    fitted model holds a weight for each class and term.
-    """
-    if terms is None:
-        words = tokenizer(text).transform(df).select(F.explode("words").alias("word"))
-        terms = max(1, words.distinct().count())
-    counted = CountVectorizer(inputCol="words", outputCol="features", vocabSize=terms, minDF=min_docs)
-    classifier = LogisticRegression(labelCol=label, maxIter=20, regParam=1e-3)
-    model = Pipeline(stages=[tokenizer(text), counted, classifier]).fit(df)
-    vocabulary, weights = model.stages[1].vocabulary, model.stages[2].coefficientMatrix.toArray()
-    if len(weights) == 1:
-        weights = np.vstack([-weights[0], weights[0]])
-    rows = [
-        (int(c), rank + 1, vocabulary[i], float(weights[c][i]))
-        for c in range(len(weights))
-        for rank, i in enumerate(np.argsort(-weights[c], kind="stable")[:top])
-    ]
-    return df.sparkSession.createDataFrame(rows, "class int, rank int, term string, weight double")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textgrove.queries import evaluate, language, model, profile, sources, split, text, tokens  # noqa: F401
+from textgrove.queries import evaluate, language, model, profile, sources, split, text, tokens, training  # noqa: F401
 from textgrove.queries.common import QUERIES, SQL
 from textgrove.queries.model import flagship
 

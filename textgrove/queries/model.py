@@ -1,4 +1,4 @@
-"""Queries on models, batch functions and streams (MDL, UDF, EVL-23, EVL-24, SNK-4, SNK-5)."""
+"""Queries on models, batch functions and streams (MDL, UDF, EVL-23, SNK-4, SNK-5)."""
 
 from __future__ import annotations
 
@@ -217,8 +217,3 @@ def cluster_errors(spark, sf_dir):
     found = settle(E.errors(scored(spark, sf_dir)).repartition(spark.sparkContext.defaultParallelism), "errors")
     clusters = L.cluster_errors(found, 4)
     return clusters.groupBy("cluster").agg(F.count("*").alias("n"), F.min("id").alias("example"))
-
-
-@query("evl_24_term_weights")
-def term_weights(spark, sf_dir):
-    return L.term_weights(parts(spark, sf_dir), 10)
