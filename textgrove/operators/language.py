@@ -212,18 +212,8 @@ def content_words(text: Column, lang: Column, stop_words: dict[str, list[str]])
     return reduce(lambda acc, x: acc.when(*x), by_lang[1:], F.when(*by_lang[0])).otherwise(found)
 
 
-def lemmatize(
-    df: DataFrame, lemmas: DataFrame, id_col: str, tokens: str = "tokens", lang: str = "lang"
-) -> DataFrame:
-    """Replace each word by its lemma of ``(lang, word, lemma)``; others stay (LNG-5).
-
-    The table is partitioned by id once. Looking up and collecting keep that
-    partitioning whenever the lemma table is small enough to be broadcast.
-    """
-    table = settle(
-        lemmas.groupBy("lang", "word").agg(F.min("lemma").alias("lemma")).withColumnRenamed("lang", "_lang"),
-        "lemmas",
-    )
+def _lemmatize_by_join(df: DataFrame, table: DataFrame, id_col: str, tokens: str, lang: str) -> DataFrame:
+    """Lemmas from a table of any size: all words are joined with it and put back in order."""
     rows = df.repartition(id_col)
     exploded = rows.select(
         F.col(id_col).alias("_id"), F.col(lang).alias("_lang"), F.posexplode(tokens).alias("_pos", "word")
@@ -240,6 +230,50 @@ def lemmatize(
     )
 
 
+def _bytes(table: DataFrame) -> int:
+    """Memory that a table of strings takes in a Python worker, about."""
+    return table.agg(F.sum(150 + sum(F.octet_length(c) for c in table.columns))).first()[0] or 0
+
+
+def lemmatize(
+    df: DataFrame, lemmas: DataFrame, id_col: str, tokens: str = "tokens", lang: str = "lang", max_bytes: int = MAX_BYTES
+) -> DataFrame:
+    """Replace each word by its lemma of ``(lang, word, lemma)``; others stay (LNG-5).
+
+    Of several lemmas of a word the least counts. Words whose lemma they are themselves need no
+    entry. The table is sent to the executors and words are looked up where they lie: no text moves.
+    Of a table that takes more than ``max_bytes`` there, only the words that occur in ``df`` are sent;
+    if these are too many as well, all words are joined with the table.
+    """
+    table = settle(
+        lemmas.filter("lemma <> word")
+        .groupBy("lang", "word")
+        .agg(F.min("lemma").alias("lemma"))
+        .withColumnRenamed("lang", "_lang"),
+        "lemmas",
+    )
+    if _bytes(table) > max_bytes:
+        used = df.select(F.col(lang).alias("_lang"), F.explode(tokens).alias("word")).distinct()
+        table = settle(table.join(used, ["_lang", "word"], "left_semi"), "lemmas")
+        if _bytes(table) > max_bytes:
+            return _lemmatize_by_join(df, table, id_col, tokens, lang)
+    entries: dict[str, dict[str, str]] = {}
+    for r in table.collect():
+        entries.setdefault(r["_lang"], {})[r["word"]] = r["lemma"]
+    shared = df.sparkSession.sparkContext.broadcast(entries)
+
+    @F.pandas_udf("array<string>")
+    def looked_up(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for rows, langs in batches:
+            out = []
+            for words, code in zip(rows, langs, strict=True):
+                known = shared.value.get(code, {})
+                out.append([] if words is None else [known.get(w, w) for w in words])
+            yield pd.Series(out, dtype="object")
+
+    return df.withColumn(tokens, looked_up(tokens, lang))
+
+
 def preprocess_multilingual(
     df: DataFrame,
     text: str = "text",

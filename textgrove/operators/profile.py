@@ -102,8 +102,12 @@ def quantiles(
 
 
 def describe(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of a column (AGG-6)."""
+    """Count, mean, deviation, extremes and quartiles of a column (AGG-6).
+
+    The numbers are written first, so that texts behind them are measured once.
+    """
     by = by or []
+    df = settle(df.select(*by, value), "values")
     plain = df.groupBy(*by).agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
@@ -144,6 +148,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, by: list[str] | None =
     Whole numbers are counted per value first; fractions, which seldom repeat,
     go straight into their bins.
 
+    Both the edges and the bins are taken from these numbers, which are written once.
     Empty bins are kept, the last bin includes the maximum, and a group with a
     single value gets the range one half around it.
     """
@@ -154,6 +159,7 @@ def histogram(df: DataFrame, value: str, bins: int = 50, by: list[str] | None =
         counted = values.withColumn("_n", F.col("_v").isNotNull().cast("long"))
     else:
         counted = values.groupBy(*by, "_v").agg(F.count("_v").alias("_n"))
+    counted = settle(counted, "counted")
     ranges = counted.groupBy(*by).agg(
         F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.sum("_n").alias("_size")
     )

@@ -13,25 +13,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textgrove.operators.scale import match, seeded_cuts, within
+from textgrove.operators.scale import match, running_totals, seeded_cuts, within
 
 
-def largest_remainder(classes: DataFrame, size: str, total: int, take: int, by: str, name: str) -> DataFrame:
+#: Classes up to this number are ranked by one task, more of them by ranges.
+FEW = 10_000
+
+
+def largest_remainder(
+    classes: DataFrame, size: str, total: int, take: int, by: str, name: str, many: bool = False
+) -> DataFrame:
     """Share out ``take`` rows over classes in proportion to their sizes.
 
     Each class gets the whole part of its quota; what is left goes to the
-    largest fractions, smaller label first.
+    largest fractions, smaller label first. ``many`` ranks the classes in
+    ranges of a total order, with the same result.
     """
     quota = F.lit(take) * F.col(size) / F.lit(total)
-    order = Window.orderBy(F.col("_fraction").desc(), F.col(by).asc_nulls_first())
-    parts = classes.withColumn("_whole", F.floor(quota)).withColumn("_fraction", quota - F.floor(quota))
-    left = F.lit(take) - F.sum("_whole").over(Window.partitionBy())
-    return (
-        parts.withColumn("_left", left)
-        .withColumn("_order", F.row_number().over(order))
-        .withColumn(name, (F.col("_whole") + (F.col("_order") <= F.col("_left")).cast("int")).cast("long"))
-        .drop("_whole", "_fraction", "_left", "_order")
-    )
+    parts = classes.withColumn("_whole", F.floor(quota)).withColumn("_less", F.floor(quota) - quota)
+    if many:
+        named = parts.withColumns({"_named": F.col(by).isNotNull(), "_one": F.lit(1)})
+        ranked = running_totals(named, ["_less", "_named", by], ["_one", "_whole"])
+        order, whole = F.col("_one_before") + 1, F.col("_whole_total")
+    else:
+        ranked = parts
+        order = F.row_number().over(Window.orderBy("_less", F.col(by).asc_nulls_first()))
+        whole = F.sum("_whole").over(Window.partitionBy())
+    extra = (order <= F.lit(take) - whole).cast("int")
+    return ranked.withColumn(name, (F.col("_whole") + extra).cast("long")).select(*classes.columns, name)
 
 
 def _wanted(counts: DataFrame, key: str, cuts: list[tuple[str, Column]]) -> DataFrame:
@@ -46,14 +55,14 @@ def _share_out(df: DataFrame, label: str, shares: dict[str, float]) -> DataFrame
     A share refers to the rows that the parts before it have left over.
     """
     classes = df.groupBy(F.col(label).alias("_label")).agg(F.count("*").alias("_size"))
-    facts = classes.agg(F.min("_size"), F.sum("_size")).first()
-    least, rest = facts[0], facts[1] or 0
+    facts = classes.agg(F.min("_size"), F.sum("_size"), F.count("*")).first()
+    least, rest, many = facts[0], facts[1] or 0, facts[2] > FEW
     if least == 1:
         raise ValueError(f"a class of {label} has a single row and cannot be stratified")
     counts, taken, cuts = classes.withColumn("_rest", F.col("_size")), F.lit(0), []
     for name, share in shares.items():
         take = min(math.ceil(share * rest), rest)
-        counts = largest_remainder(counts, "_rest", max(rest, 1), take, "_label", f"_{name}")
+        counts = largest_remainder(counts, "_rest", max(rest, 1), take, "_label", f"_{name}", many)
         counts = counts.withColumn("_rest", F.col("_rest") - F.col(f"_{name}"))
         taken, rest = taken + F.col(f"_{name}"), rest - take
         cuts.append((name, taken))

@@ -106,10 +106,31 @@ def stop_words(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", F.array_join(kept, " ").alias("text"))
 
 
-@query("lng_04_default_stop_words")
+# Words that every list of the language holds, and words that none does.
+SURE = {"en": ["the", "of", "and", "in", "is"], "fr": ["le", "la", "de", "que", "et"], "de": ["der", "die", "und", "in"], "es": ["el", "la", "de", "que"]}
+LISTED = "sure(lang, word) AS (VALUES " + ", ".join(f"('{lang}', '{w}')" for lang, words in SURE.items() for w in words) + ")"
+
+
+@query("lng_04_default_stop_words", f"""
+WITH t AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}_]+')) AS word FROM documents),
+{LISTED},
+n AS (SELECT doc_id, count(*) AS words, sum((length(word) > 14)::INTEGER)::BIGINT AS long FROM t GROUP BY doc_id)
+SELECT d.doc_id, coalesce(words, 0) AS words, coalesce(long, 0) AS long, true AS fewer, 0::BIGINT AS sure_left
+FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id""")
 def default_stop_words(spark, sf_dir):
+    """Spark's lists: words that surely are stop words go, long ones, which never are, all stay."""
     kept = L.content_words(F.col("text"), F.col("lang"), L.default_stop_words())
-    return documents(spark, sf_dir).select("doc_id", F.array_join(kept, " ").alias("text"))
+    every = L.content_words(F.col("text"), F.lit(None).cast("string"), {})
+    sure = F.create_map(*[x for lang, words in SURE.items() for x in (F.lit(lang), F.array(*map(F.lit, words)))])
+    left = F.coalesce(F.size(F.array_intersect("kept", sure[F.col("lang")])), F.lit(0))
+    rows = documents(spark, sf_dir).select("doc_id", "lang", kept.alias("kept"), every.alias("every"))
+    return rows.select(
+        "doc_id",
+        F.size("every").cast("long").alias("words"),
+        F.size(F.filter("kept", lambda w: F.length(w) > 14)).cast("long").alias("long"),
+        (F.size("kept") <= F.size("every")).alias("fewer"),
+        left.cast("long").alias("sure_left"),
+    )
 
 
 def lemma_table(docs):
@@ -149,11 +170,14 @@ def multilingual(spark, sf_dir):
     ).select("doc_id", "text")
 
 
-@query("lng_06_detect_and_clean")
+@query("lng_06_detect_and_clean", f"""
+WITH {TOKENS}, j AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text FROM kept GROUP BY doc_id)
+SELECT d.doc_id, coalesce(j.text, '') AS text FROM documents d LEFT JOIN j ON d.doc_id = j.doc_id""")
 def detect_and_clean(spark, sf_dir):
+    """Languages are detected first; those of the documents are told apart without an error."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     return L.preprocess(
-        docs.drop("lang"), multilingual=True, id_col="doc_id", profiles=L.build_profiles(docs)
+        docs.drop("lang"), multilingual=True, id_col="doc_id", profiles=L.build_profiles(docs), stop_words=STOP
     )
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -12,7 +15,8 @@ from textgrove.operators.mapping import map_batches
 from textgrove.operators.scale import new_path, settle
 from textgrove.operators.split import three_way_split
 from textgrove.plans.workflow import train_and_evaluate
-from textgrove.queries.common import documents, labelled, query, rounded, scored, scored_sql, table
+from textgrove.queries.common import LABELLED, documents, labelled, query, rounded, scored, scored_sql, table
+from textgrove.queries.split import THREE_WAY
 from textgrove.queries.text import clean_sql
 from textgrove.sources import sinks as S
 from textgrove.streaming import scoring
@@ -33,16 +37,49 @@ def flagship(spark, sf_dir):
     return E.evaluate_split(outcome.scored, "test")
 
 
-@query("mdl_01_train")
+def share(*columns):
+    """Whether all of these are numbers from 0 to 1."""
+    return F.coalesce(reduce(and_, [F.col(c).between(0, 1) for c in columns]), F.lit(False))
+
+
+#: What a fitted model must keep to whatever it has learned; SQL cannot fit one.
+MEASURES = ("accuracy", "precision", "recall", "f1")
+TESTED = f"""
+WITH {THREE_WAY}
+SELECT 'test' AS dataset, count(*) AS num_samples, true AS in_range, true AS recall_is_accuracy, true AS better_than_chance
+FROM three_way WHERE split = 'test'"""
+
+
+@query("mdl_01_train", TESTED)
 def train(spark, sf_dir):
-    return flagship(spark, sf_dir)
+    """The evaluation of a trained classifier: its rows, ranges, and that it beats guessing."""
+    found = settle(flagship(spark, sf_dir), "evaluation")
+    return found.select(
+        "dataset",
+        "num_samples",
+        share(*MEASURES).alias("in_range"),
+        (F.abs(F.col("recall") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"),
+        (F.col("accuracy") > 0.5).alias("better_than_chance"),
+    )
+
+
+def consistent(positive=1):
+    """Whether class, confidence and score of a row of two classes agree with its probabilities."""
+    p = F.col("probabilities")
+    return (
+        (F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9)
+        & (F.col("confidence") == F.array_max(p))
+        & (F.col("y_pred") == F.array_position(p, F.array_max(p)) - 1)
+        & (F.col("score") == p[positive])
+    )
 
 
-@query("mdl_02_predict")
+@query("mdl_02_predict", f"WITH {THREE_WAY} SELECT id, label, split, true AS consistent, true AS in_range FROM three_way")
 def predict(spark, sf_dir):
     rows = parts(spark, sf_dir)
     model = L.train(part(rows, "train"))
-    return L.predict(model, rows).select("id", "label", "split", "y_pred", "confidence", "score")
+    scored_rows = L.predict(model, rows)
+    return scored_rows.select("id", "label", "split", consistent().alias("consistent"), share("confidence", "score").alias("in_range"))
 
 
 LOGITS = """
@@ -73,11 +110,15 @@ def softmax(spark, sf_dir):
     )
 
 
-@query("mdl_04_save_and_load")
+@query("mdl_04_save_and_load", f"WITH {THREE_WAY} SELECT id, true AS same FROM three_way WHERE split = 'test'")
 def save_and_load(spark, sf_dir):
+    """A model that is loaded predicts what the saved one did."""
     rows, path = parts(spark, sf_dir), new_path(spark, "model")
-    L.save_model(L.train(part(rows, "train")), path)
-    return L.predict(L.load_model(path), part(rows, "test")).select("id", "y_pred", "score")
+    model = L.train(part(rows, "train"))
+    L.save_model(model, path)
+    before = L.predict(model, part(rows, "test")).select("id", F.struct("y_pred", "probabilities").alias("before"))
+    after = L.predict(L.load_model(path), part(rows, "test")).select("id", F.struct("y_pred", "probabilities").alias("after"))
+    return before.join(after, "id").select("id", (F.col("before") == F.col("after")).alias("same"))
 
 
 @query("mdl_05_model_info", """
@@ -94,24 +135,56 @@ def trials(spark, sf_dir):
     return L.tune(part(rows, "train"), part(rows, "validation"))
 
 
-@query("mdl_06_tune")
+@query("mdl_06_tune", """
+SELECT unnest(range(0, 20))::INTEGER AS trial_number, true AS in_range, true AS in_space, true AS no_error""")
 def tune(spark, sf_dir):
-    return trials(spark, sf_dir).select("trial_number", "value", "params.*")
+    found = settle(trials(spark, sf_dir), "trials").select("*", "params.*")
+    space = F.col("regParam").between(*L.SEARCH["regParam"]) & F.col("numFeatures").isin(L.SEARCH["numFeatures"])
+    return found.select(
+        "trial_number",
+        share("value").alias("in_range"),
+        (space & F.col("maxIter").between(*L.SEARCH["maxIter"])).alias("in_space"),
+        F.col("error").isNull().alias("no_error"),
+    )
 
 
-@query("snk_05_trial_results")
+@query("snk_05_trial_results", """
+SELECT 20::BIGINT AS n_trials, 20 AS listed, true AS best_of_all, true AS best_is_listed, true AS same_when_read""")
 def trial_results(spark, sf_dir):
-    path, found = new_path(spark, "trials"), S.trial_results(trials(spark, sf_dir))
+    """Results of a search, written and read again: the best of all trials with its parameters."""
+    path, found = new_path(spark, "trials"), settle(S.trial_results(settle(trials(spark, sf_dir), "trials")), "results")
     S.write_json(found, path)
-    return S.read_json(spark, path, found.schema)
+    read = S.read_json(spark, path, found.schema)
+    best = F.filter("trials", lambda t: (t["value"] == F.col("best_value")) & (t["params"] == F.col("best_params")))
+    return read.select(
+        "n_trials",
+        F.size("trials").alias("listed"),
+        (F.col("best_value") == F.array_max(F.transform("trials", lambda t: t["value"]))).alias("best_of_all"),
+        (F.size(best) > 0).alias("best_is_listed"),
+        F.lit(read.exceptAll(found).isEmpty() and found.exceptAll(read).isEmpty()).alias("same_when_read"),
+    )
 
 
-@query("snk_04_final_results")
+@query("snk_04_final_results", f"""
+WITH {THREE_WAY}
+SELECT count(*) FILTER (split = 'train') AS trained, count(*) FILTER (split = 'test') AS tested, true AS in_range,
+       count(DISTINCT label) AS num_labels, 65537 AS num_parameters, 0.2 AS validation, 0.1 AS test, 42 AS seed, true AS same_when_read
+FROM three_way""")
 def final_results(spark, sf_dir):
+    """The results of a run, written and read again: rows, ranges, facts of the model, settings."""
     path = new_path(spark, "final")
-    found = train_and_evaluate(labelled(spark, sf_dir, heavy=True)).results
+    found = settle(train_and_evaluate(labelled(spark, sf_dir, heavy=True)).results, "results")
     S.write_json(found, path)
-    return S.read_json(spark, path, found.schema)
+    read = S.read_json(spark, path, found.schema)
+    return read.select(
+        F.col("training.num_samples").alias("trained"),
+        F.col("evaluation.num_samples").alias("tested"),
+        share(*[f"{part}.{m}" for part in ("training", "evaluation") for m in MEASURES]).alias("in_range"),
+        "model_info.num_labels",
+        "model_info.num_parameters",
+        "settings.*",
+        F.lit(read.exceptAll(found).isEmpty()).alias("same_when_read"),
+    )
 
 
 # Trials as thresholds on the made-up scores; the last one has failed.
@@ -143,15 +216,21 @@ def best_trial(spark, sf_dir):
     return rounded(L.best_trial(threshold_trials(spark, sf_dir)))
 
 
-@query("mdl_08_compare")
+@query("mdl_08_compare", f"""
+WITH {THREE_WAY}
+SELECT m.model, count(*) AS n, true AS in_range, true AS recall_is_accuracy
+FROM three_way, (VALUES ('logistic'), ('bayes'), ('svm')) m(model) WHERE split = 'test' GROUP BY m.model""")
 def compare(spark, sf_dir):
     rows = parts(spark, sf_dir)
-    return E.compare_models(L.compare(part(rows, "train"), part(rows, "test")))
+    found = E.compare_models(L.compare(part(rows, "train"), part(rows, "test")))
+    return found.select("model", "n", share(*MEASURES).alias("in_range"), (F.abs(F.col("recall") - F.col("accuracy")) < 1e-9).alias("recall_is_accuracy"))
 
 
-@query("mdl_09_cross_lingual")
+@query("mdl_09_cross_lingual", f"""
+WITH {LABELLED} SELECT lang, count(*) AS n, true AS in_range FROM labelled WHERE lang <> 'en' GROUP BY lang""")
 def cross_lingual(spark, sf_dir):
-    return E.metrics(L.cross_lingual(parts(spark, sf_dir), ["en"]), ["lang"])
+    found = E.metrics(L.cross_lingual(parts(spark, sf_dir), ["en"]), ["lang"])
+    return found.select("lang", "n", share(*MEASURES).alias("in_range"))
 
 
 @query("mdl_10_stream_clean", f"SELECT doc_id, lang, {clean_sql('text')} AS text FROM documents")
@@ -164,7 +243,7 @@ def stream_clean(spark, sf_dir):
     return spark.read.schema("doc_id long, lang string, text string").parquet(out)
 
 
-@query("mdl_10_stream_scores")
+@query("mdl_10_stream_scores", "SELECT doc_id, true AS in_range, true AS confident FROM documents")
 def stream_scores(spark, sf_dir):
     model = L.train(part(parts(spark, sf_dir), "train"))
     schema = table(spark, sf_dir, "documents").schema
@@ -172,7 +251,9 @@ def stream_scores(spark, sf_dir):
     scores = scoring.score_stream(rows, model).select("doc_id", "y_pred", "confidence", "score")
     out = new_path(spark, "stream")
     scoring.write_stream(scores, out, f"{out}-checkpoint").awaitTermination()
-    return spark.read.schema(scores.schema).parquet(out)
+    found = spark.read.schema(scores.schema).parquet(out)
+    likelier = F.when(F.col("y_pred") == 1, F.col("score")).otherwise(1 - F.col("score"))
+    return found.select("doc_id", share("confidence", "score").alias("in_range"), (F.abs(likelier - F.col("confidence")) < 1e-9).alias("confident"))
 
 
 LOG = """
@@ -212,8 +293,14 @@ def batches(spark, sf_dir):
     return map_batches(docs, measure, "doc_id long, chars long, lang string")
 
 
-@query("evl_23_cluster_errors")
+@query("evl_23_cluster_errors", f"""
+WITH {scored_sql()}
+SELECT id, true AS placed, true AS equal_texts_together FROM scored WHERE y_true <> y_pred""")
 def cluster_errors(spark, sf_dir):
+    """Every error is in one of the groups; errors of equal text are in the same."""
     found = settle(E.errors(scored(spark, sf_dir)).repartition(spark.sparkContext.defaultParallelism), "errors")
-    clusters = L.cluster_errors(found, 4)
-    return clusters.groupBy("cluster").agg(F.count("*").alias("n"), F.min("id").alias("example"))
+    clusters = settle(L.cluster_errors(found, 4), "clusters")
+    same = clusters.groupBy("text").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high"))
+    return clusters.join(same, "text").select(
+        "id", F.col("cluster").between(0, 3).alias("placed"), (F.col("low") == F.col("high")).alias("equal_texts_together")
+    )

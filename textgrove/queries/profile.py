@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textgrove.operators import profile as P
+from textgrove.operators.scale import settle
 from textgrove.operators.split import three_way_split
 from textgrove.queries.common import LABELLED, documents, labelled, query, rounded, table
 from textgrove.queries.split import THREE_WAY
@@ -20,9 +21,15 @@ def rows_and_labels(spark, sf_dir):
     return P.analyze(labelled(spark, sf_dir), by="lang").select("split", "num_samples", "num_labels")
 
 
-@query("agg_01_approximate_sizes")
+@query("agg_01_approximate_sizes", """
+SELECT l_returnflag, count(*) AS num_samples, count(DISTINCT l_orderkey) AS exact, true AS near FROM lineitem GROUP BY l_returnflag""")
 def approximate_sizes(spark, sf_dir):
-    return P.approximate_sizes(table(spark, sf_dir, "lineitem"), "l_orderkey", ["l_returnflag"])
+    """Estimates beside exact numbers: within four times the error asked for."""
+    rows = table(spark, sf_dir, "lineitem")
+    exact = rows.groupBy("l_returnflag").agg(F.count_distinct("l_orderkey").alias("exact"))
+    found = P.approximate_sizes(rows, "l_orderkey", ["l_returnflag"]).join(exact, "l_returnflag")
+    near = F.abs(F.col("num_keys") / F.col("exact") - 1) <= 0.08
+    return found.select("l_returnflag", "num_samples", "exact", near.alias("near"))
 
 
 @query("agg_02_label_distribution", f"""
@@ -131,9 +138,21 @@ def describe_prices(spark, sf_dir):
     return _doubles(P.describe(prices, "price", ["l_returnflag"]))
 
 
-@query("agg_06_describe_fast")
+@query("agg_06_describe_fast", f"""
+WITH m AS (SELECT lang, length(text)::DOUBLE AS v FROM documents)
+SELECT lang, count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, min(v) AS min, max(v) AS max,
+       true AS q25_near, true AS q50_near, true AS q75_near FROM m GROUP BY lang""")
 def describe_fast(spark, sf_dir):
-    return P.describe_fast(P.measure(documents(spark, sf_dir)), "chars", ["lang"])
+    """One pass; each approximate quartile has a share of the rows below it and up to it that allows for the quartile."""
+    measured = settle(P.measure(documents(spark, sf_dir)).select("lang", "chars"), "chars")
+    found = settle(P.describe_fast(measured, "chars", ["lang"]), "described")
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    ranks = measured.join(found.select("lang", *quartiles), "lang").groupBy("lang").agg(
+        *[(F.avg((F.col("chars") < F.col(q)).cast("int")) <= p + 0.001).alias(f"{q}_low") for q, p in quartiles.items()],
+        *[(F.avg((F.col("chars") <= F.col(q)).cast("int")) >= p - 0.001).alias(f"{q}_high") for q, p in quartiles.items()],
+    )
+    near = [(F.col(f"{q}_low") & F.col(f"{q}_high")).alias(f"{q}_near") for q in quartiles]
+    return _doubles(found.join(ranks, "lang").select("lang", "count", "mean", "std", "min", "max", *near))
 
 
 @query("agg_07_label_shares", f"""

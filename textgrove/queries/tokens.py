@@ -18,7 +18,7 @@ tokens AS MATERIALIZED (SELECT doc_id, unnest(list) AS word, generate_subscripts
 counts AS MATERIALIZED (SELECT word, count(*) AS n FROM tokens GROUP BY word)"""
 
 VOCABULARY = f"""
-starts AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM counts WHERE length(word) <= 100),
+starts AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM counts),
 pieces AS (
   SELECT token, sum(n) AS n, min(len) AS len FROM (
     SELECT CASE WHEN i > 1 THEN '##' ELSE '' END || substr(word, i, 1) AS token, n, 1 AS len FROM starts
@@ -86,6 +86,20 @@ def build_vocabulary(spark, sf_dir):
     return vocabulary(documents(spark, sf_dir))
 
 
+# Words far above 100 characters: the letters of each address, four times in a row.
+ADDRESSES = "documents AS (SELECT page_id AS doc_id, repeat(regexp_replace(url, '[^A-Za-z0-9]', '', 'g'), 4) || ' ' || url AS text FROM pages)"
+
+
+@query("tok_03_long_words", f"""
+WITH {ADDRESSES}, {WORDS}, {VOCABULARY}
+SELECT token, id, length(token) > 100 AS long FROM vocabulary""")
+def long_words(spark, sf_dir):
+    """A vocabulary of words of any length."""
+    letters = F.repeat(F.regexp_replace("url", "[^A-Za-z0-9]", ""), 4)
+    texts = table(spark, sf_dir, "pages").select(F.col("page_id").alias("doc_id"), F.concat_ws(" ", letters, "url").alias("text"))
+    return vocabulary(texts).select("token", "id", (F.length("token") > 100).alias("long"))
+
+
 @query("tok_04_word_pieces", f"""
 WITH RECURSIVE {WORDS}, {VOCABULARY}, {PIECES} SELECT word, array_to_string(ids, ' ') AS ids FROM ids""")
 def word_pieces(spark, sf_dir):
