@@ -1,5 +1,7 @@
 """Rounding that strays beside 0 or 1."""
 
+from pyspark.sql import functions as F
+
 from textgrove.llm import mixing
 
 
@@ -16,3 +18,29 @@ def test_every_row_is_decided(spark):
     done = mixing._decide(table, 42).collect()
     assert sorted((r["source"], r["key"]) for r in done) == sorted((s, k) for s, _, k, _, _ in rows)
     assert all(int(r["p"]) in (0, 1) for r in done)
+
+
+def test_repeated_rows(spark, monkeypatch):
+    """9,000 equal rows beside others: one row of the rounding, copies shared evenly, no group above its size."""
+    monkeypatch.setattr(mixing, "GROUP", 64)
+    seen = []
+    plain = mixing._decide
+
+    def decide(rows, seed):
+        seen.append(rows.filter("p > 0 and p < 1 and size > 0").groupBy("source", F.expr("pmod(key, groups)")).count().agg(F.max("count")).first()[0])
+        return plain(rows, seed)
+
+    monkeypatch.setattr(mixing, "_decide", decide)
+    same = spark.range(9000).selectExpr("cast(1 as long) as doc_id", "'the same few words' as text", "'a' as source")
+    other = spark.range(1000).selectExpr("id + 10 as doc_id", "concat('words of row ', id, ' ', repeat('x ', cast(id % 7 as int))) as text", "if(id < 500, 'a', 'b') as source")
+    docs = same.union(other).repartition(6)
+    rows = mixing.taken(docs).collect()
+    assert len(rows) == 10000 and seen[0] < 150
+    copies = [r["copies"] for r in rows if r["doc_id"] == 1]
+    assert max(copies) - min(copies) <= 1
+    for source in "ab":
+        own = [r for r in rows if (r["doc_id"] == 1 or r["doc_id"] < 510) == (source == "a")]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= max(r["size"] for r in own) / 2 + 1e-6
+        assert own[0]["source_size"] == sum(r["size"] for r in own)
+    mixed = mixing.mix(docs).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in mixed}[1] in (sum(copies), sum(copies) + 1, sum(copies) - 1)

@@ -1,6 +1,9 @@
 """Decontamination, rules, mixing and packing: brute force, exact sums and round trips."""
 
+import pickle
+import random
 import re
+import sys
 from collections import Counter, defaultdict
 
 import pytest
@@ -37,12 +40,35 @@ def test_occurrences(spark, odd, empty, block_bytes):
     for i, text in enumerate(texts):
         n, hit, items = plain_hits(text, [(str(k), t) for k, t in ITEMS])
         assert (got[i]["n_words"], got[i]["n_hit"], spans[i], got[i]["contaminated"]) == (n, hit, items, hit > 0), text
+    nameless = spark.createDataFrame([(None, "b c d e f g h i j k")], benchmark.schema)
+    got = decontaminate.report(docs, nameless, block_bytes=block_bytes).filter("contaminated")
+    assert sorted((r["doc_id"], r["n_hit"], r["n_items"]) for r in got.collect()) == [(1, 10, 1), (2, 10, 1)]
     clean = decontaminate.clean_documents(odd, benchmark, block_bytes=block_bytes)
     assert clean.columns == odd.columns and clean.count() == 11
     assert decontaminate.report(odd, benchmark.limit(0)).filter("contaminated").count() == 0
     assert decontaminate.report(empty, benchmark).count() == 0
 
 
+def test_tables_are_bounded(spark):
+    """Bytes of the tables for each byte of benchmark text; long items are cut without losing a window."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(20000)]
+    items = [(str(k), " ".join(rng.choice(words) for _ in range(rng.choice([5, 60, 400])))) for k in range(300)]
+    tables = decontaminate.Searcher(items)
+    text = sum(len(t) for _, t in items)
+    assert len(pickle.dumps(tables)) < 12 * text
+    assert sum(sys.getsizeof(x) for t in tables.lengths for x in vars(t).values()) + sum(map(sys.getsizeof, tables.ids)) + sys.getsizeof(tables.ids) < 20 * text
+    for item, t in items[:40]:
+        n, spans, found = tables.find("zzz " + t + " zzz")
+        assert spans == [(1, n - 1)] and item in found
+    benchmark = spark.createDataFrame(items[:3] + [("long", " ".join(words[:3000]))], "item_id string, text string")
+    blocks = list(decontaminate._blocks(benchmark, "item_id", "text", 4096, 10))
+    assert len(blocks) > 5 and all(sum(len(t) for _, t in b) <= 2 * 4096 for b in blocks)
+    whole = {tuple(words[k : k + 10]) for k in range(2991)}
+    parts = {tuple(p[k : k + 10]) for b in blocks for i, t in b if i == "long" for p in [t.split()] for k in range(len(p) - 9)}
+    assert parts == whole
+
+
 def plain_statistics(text):
     text = text or ""
     words, seen, dup = WORD.findall(text), set(), 0

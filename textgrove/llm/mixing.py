@@ -12,6 +12,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textgrove.llm.words import WORD, column, packed, row_hash, unpacked
 from textgrove.operators.scale import match, running_totals, settle
@@ -136,13 +137,18 @@ def word_count(text: Column) -> Column:
 
 
 def _mixed(rows: DataFrame, weights: tuple[int, ...], most: int, share: float, seed: int) -> DataFrame:
-    """Decisions for ``rows`` (source, size, key, ...), which are read from a table."""
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    """``(source, key, size, times, copies)`` and facts of the source, for rows ``(source, key, size)`` of a table.
+
+    Rows that are equal in these are one row ``times`` as often, counted in the tasks first, so that
+    repeats make no group larger; ``copies`` are those of all of them.
+    """
+    equal = settle(rows.groupBy("source", "key", "size").agg(F.count("*").alias("times")), "equal")
+    sizes = equal.groupBy("source").agg(F.sum(F.col("size") * F.col("times")).alias("source_size"), F.count("*").alias("n"))
     wanted = settle(
         match(targets(sizes.select("source", "source_size"), weights, most, share), sizes.select("source", "n"), ["source"]), "targets"
     )
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    open_rows = match(rows, wanted, ["source"]).withColumns(
+    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)) * F.col("times")
+    open_rows = match(equal, wanted, ["source"]).withColumns(
         {
             "whole": F.floor(rate).cast("long"),
             "p": rate - F.floor(rate),
@@ -152,6 +158,24 @@ def _mixed(rows: DataFrame, weights: tuple[int, ...], most: int, share: float, s
     return _decide(open_rows, seed).withColumn("copies", F.col("whole") + F.col("p").cast("long"))
 
 
+def _dealt(rows: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``rows`` with the copies of each: equal rows share theirs as evenly as whole numbers can.
+
+    Equal rows are numbered inside each task's part of the table, behind those of the parts before.
+    """
+    both = match(rows, mixed, ["source", "key", "size"])
+    single, several = both.filter("times = 1"), both.filter("times > 1")
+    by = ["source", "key", "size"]
+    earlier = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = several.groupBy(*by, "part").agg(F.count("*").alias("own"))
+    offsets = settle(counts.select(*by, "part", F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("offset")), "offsets")
+    inside = F.row_number().over(Window.partitionBy(*by, "part").orderBy("place"))
+    numbered = match(several.withColumn("inside", inside), offsets, [*by, "part"])
+    extra = (F.col("offset") + F.col("inside") <= F.col("copies") % F.col("times")).cast("long")
+    shared = numbered.withColumn("copies", F.floor(F.col("copies") / F.col("times")).cast("long") + extra)
+    return single.unionByName(shared.drop("inside", "offset"))
+
+
 def taken(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -168,8 +192,8 @@ def taken(
     most ``most`` times the size. The words taken from a source differ from its target by half of
     one document at most: the tree's last undecided row goes to the nearer side. The draws come
     from hashes of the rows, so that reruns agree, whatever the partitions. Rows of null source are
-    a source of their own; null ids and repeated rows are rows like any other; rows without words
-    are copied the nearest whole number of times. An empty table gives no rows. Only ids, sources
+    a source of their own; null ids are ids like any other; repeated rows are rounded as one and
+    share their copies evenly; rows without words are copied the nearest whole number of times. An empty table gives no rows. Only ids, sources
     and sizes are shuffled.
     """
     text, source = column(text_col), column(source_col).cast("string")
@@ -179,10 +203,12 @@ def taken(
             source.alias("source"),
             word_count(text).alias("size"),
             F.xxhash64(F.lit(seed), column(id_col), source, text).alias("key"),
+            F.spark_partition_id().alias("part"),
+            F.monotonically_increasing_id().alias("place"),
         ),
         "sizes",
     )
-    return _mixed(rows, weights, most, share, seed).select(
+    return _dealt(rows, _mixed(rows, weights, most, share, seed)).select(
         F.col("id").alias(id_col), "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 

@@ -41,7 +41,7 @@ WITH d AS (
          regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
   FROM documents),
 b AS (
-  SELECT item_id::VARCHAR AS item, regexp_extract_all({LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
   FROM benchmark WHERE text IS NOT NULL),
 p AS (
   SELECT DISTINCT item, least(10, len(w)) AS m, unnest(list_transform(
