@@ -7,6 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from textgrove.llm import brown, quality_model, toxicity
 
 
@@ -52,12 +54,11 @@ def test_discriminant_against_densities():
 
 
 def test_labels_of_the_test_fold_are_not_used(more_docs, labels):
-    from pyspark.sql import functions as F
-
     turned = labels.withColumn("quality", F.when(quality_model.held_out("doc_id", 5, 0), 1 - F.col("quality")).otherwise(F.col("quality")))
     score = lambda some: sorted((r["doc_id"], r["score"]) for r in quality_model.classify(more_docs, some).collect())
-    assert score(turned) == pytest.approx(score(labels)) if False else [i for i, _ in score(turned)] == [i for i, _ in score(labels)]
-    assert np.allclose([s for _, s in score(turned)], [s for _, s in score(labels)])
+    a, b = score(turned), score(labels)
+    assert [i for i, _ in a] == [i for i, _ in b]
+    assert np.allclose([s for _, s in a], [s for _, s in b])
 
 
 def test_toxicity(more_docs, labels, odd, empty):
@@ -91,6 +92,52 @@ def test_language_model_counts(docs, texts):
     assert sum(r["score"] for r in held_rows) > sum(r["base_score"] for r in held_rows)
 
 
+def test_score_restated(docs, texts):
+    """The probability of each text from its definition, given the class of each word."""
+    rows, model = brown.scored(docs, "doc_id", "text")
+    places, near = model.table.places, len(model.table.places)
+    kind = lambda w: int(model.kinds[places.get(brown.short(w), near + brown.bin_of(w))])
+    learned = [brown.tokens(t) for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10]
+    counts = Counter(w for words in learned for w in words)
+    assert {w for w, n in counts.items() if n >= brown.EVIDENCE} | {brown.END} == set(places)  # every such word has its own class
+    pairs, inside, kinds = Counter(), Counter(), Counter()
+    for words in learned:
+        pairs.update(zip(map(kind, [brown.END, *words]), map(kind, words), strict=False))
+    for w, n in counts.items():
+        inside[kind(w)] += n
+        kinds[kind(w)] += 1
+    left = Counter()
+    for (a, _), n in pairs.items():
+        left[a] += n
+    total = sum(counts.values()) + 0.1 * (len(counts) + 1)
+    for r in rows.collect():
+        words, log = brown.tokens(texts[r["doc_id"]]), 0.0
+        for v, w in zip([brown.END, *words], words, strict=False):
+            a, b, n = kind(v), kind(w), counts[w] + 0.1
+            follow = (pairs[a, b] + 0.1) / (left[a] + 0.1 * brown.CLASSES)
+            log += math.log10(brown.TRUST * follow * n / (inside[b] + 0.1 * (kinds[b] + 1)) + (1 - brown.TRUST) * n / total)
+        assert r["score"] == pytest.approx(log, rel=1e-6)
+    assert model.history == sorted(model.history) or len(model.history) <= brown.SWEEPS
+
+
+def test_held_out_texts_teach_nothing(docs):
+    """Other held-out texts, with frequent new words: the same words, classes and probabilities."""
+    text = F.when(brown.held_out("doc_id", 10, 0), F.repeat(F.lit("newword other the "), 3000)).otherwise(F.col("text"))
+    _, model = brown.scored(docs, "doc_id", "text", rounds=4)
+    _, other = brown.scored(docs.withColumn("text", text), "doc_id", "text", rounds=4)
+    assert model.table.places == other.table.places and (model.kinds == other.kinds).all()
+    assert np.allclose(model.step, other.step) and model.total == other.total
+
+
+def test_long_words_have_classes(spark):
+    """A frequent word of any length is a row of its own in clustering and scored as others are."""
+    long = "x" * 300
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a"), F.lit(long), F.lit("b"), (F.col("id") % 3).cast("string")).alias("text"))
+    rows, model = brown.scored(docs, "doc_id", "text")
+    assert brown.short(long.encode()) in model.table.places and len(model.table.places) == 7
+    assert all(r["n_known"] == 5 and r["score"] > r["base_score"] for r in rows.collect())
+
+
 def test_far_words_are_joined(docs, monkeypatch):
     """The same scores whether words are looked up in place or joined."""
     units = lambda rows: {r["doc_id"]: (r["n_known"], round(r["base_score"], 6)) for r in rows}

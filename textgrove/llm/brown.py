@@ -3,10 +3,16 @@
 Exchange clustering puts words into classes so that the classes of neighbouring words tell most
 about each other. The probability of a word is that of its class after the class before it, times
 that of the word in its class, mixed with its probability in the whole corpus.
+
+Every word with ``EVIDENCE`` training occurrences is exchanged as a row of its own. The frequent ones
+begin: they move one after the other, on counts that the driver can hold. Then all words move in
+sweeps: the classes of each word's neighbours are counted, words are dealt over the tasks with their
+counts, and each goes to the class in which the corpus is most likely, until that settles.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import Counter
@@ -15,7 +21,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textgrove.llm.quality_model import held_out
@@ -25,12 +33,17 @@ from textgrove.operators.scale import settle
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 END = b"\n"  # no word can be a line break
 ADD = 0.1
-#: A word with at least one of this many shares of all tokens is looked up in the executors'
-#: memory; with one of the second it is a unit of its own in clustering. So there are at most as many.
-NEAR, OWN = 1 << 17, 1 << 11
-#: Words of other units meet in units by their last bytes; longest word kept in memory.
-BINS, LONGEST = 512, 64
+#: Words with at least one of ``NEAR`` shares of the training tokens, and ``EVIDENCE`` occurrences, are
+#: looked up in the executors' memory and have a class of their own; so there are a million at most.
+#: Those of the second share begin. Rarer words have the class of others that end like them.
+NEAR, OWN, EVIDENCE = 1 << 20, 1 << 11, 5
+#: Units of words by their last bytes. Longer words than ``LONG`` bytes are known by a digest.
+BINS, LONG = 512, 64
 CLASSES, ROUNDS, PARTS, TRUST = 64, 12, 4, 0.9
+#: Sweeps over all words at most; they end when one makes a token likelier by less than ``SETTLED`` nats.
+SWEEPS, SETTLED = 4, 0.002
+#: Distinct words, and tokens, that a task holds before it counts them together.
+HELD, TOKENS = 1 << 18, 1 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -40,85 +53,147 @@ def tokens(text: str | None) -> list[bytes]:
     return words
 
 
+def short(word: bytes) -> bytes:
+    """A word as the lookup knows it: a long one by a digest, after a byte that no shorter one begins with."""
+    return word if len(word) <= LONG else b"\n" + hashlib.md5(word).digest()
+
+
+def bin_of(word: bytes) -> int:
+    return zlib.crc32(word[-3:]) % BINS
+
+
 @dataclass
 class Lookup:
-    """Frequent words: place in the arrays, counts as logarithms, whether in training, unit."""
+    """Near words: place, and logarithm of the training count. Places behind them are those of the bins."""
 
     places: dict[bytes, int]
     logs: np.ndarray
-    known: np.ndarray
-    units: np.ndarray
     owned: int
 
-    def unit(self, word: bytes) -> int:
-        place = self.places.get(word)
-        return int(self.units[place]) if place is not None else self.owned + zlib.crc32(word[-3:]) % BINS
-
-    def split(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
-        """Places, or for words that have none, -1 less the number of their unit; and those words."""
-        find, first = self.places.get, -1 - self.owned
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
+        """Places of words or of their bins; and the words that have none."""
+        find, rare, first = self.places.get, [], len(self.places)
         out = [find(w) for w in words]
-        rare = []
         for i, place in enumerate(out):
             if place is None:
-                rare.append(words[i])
-                out[i] = first - zlib.crc32(words[i][-3:]) % BINS
-        return np.array(out, np.int64), rare
+                word = words[i]
+                place = find(short(word)) if len(word) > LONG else None
+                if place is None:
+                    rare.append(word)
+                    place = first + bin_of(word)
+                out[i] = place
+        return np.array(out, np.int32), rare
 
-    def units_of(self, places: np.ndarray) -> np.ndarray:
-        return np.where(places >= 0, self.units[np.maximum(places, 0)], -1 - places)
+    def units(self, bins: np.ndarray) -> np.ndarray:
+        """Units of the places in the first rounds: frequent words for themselves, the others by their bins."""
+        own = np.arange(len(self.places))
+        return np.concatenate([np.where(own < self.owned, own, self.owned + bins), self.owned + np.arange(BINS)])
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """``(word, n_all, n_train)`` of all texts; ``docs`` has ``text`` and ``train``."""
+    """``(word, n_all, n_train)`` of all texts; ``docs`` has ``text`` and ``train``. Counted in the tasks first."""
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            every, train = Counter(), Counter()
-            for text, learn in zip(part["text"], part["train"], strict=True):
-                words = tokens(text)
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every: Counter = Counter()
+        train: Counter = Counter()
+
+        def given() -> pa.RecordBatch:
+            rows = [pa.array(list(every), pa.binary()), pa.array(list(every.values()), pa.int64()), pa.array([train[w] for w in every], pa.int64())]
+            every.clear()
+            train.clear()
+            return pa.RecordBatch.from_arrays(rows, ["word", "n_all", "n_train"])
+
+        for batch in batches:
+            for text, learn in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                words = tokens(text.as_py())
                 every.update(words)
                 if learn:
                     train.update(words)
-            yield pd.DataFrame(
-                {"word": list(every), "n_all": list(every.values()), "n_train": [train.get(w, 0) for w in every]}
-            )
+                if len(every) >= HELD:
+                    yield given()
+        yield given()
 
-    counts = docs.select("text", "train").mapInPandas(counted, "word binary, n_all long, n_train long")
+    counts = docs.select("text", "train").mapInArrow(counted, "word binary, n_all long, n_train long")
     return counts.groupBy("word").agg(F.sum("n_all").alias("n_all"), F.sum("n_train").alias("n_train"))
 
 
-def lookup(vocabulary: DataFrame, total: int) -> Lookup:
-    """The frequent words of a counted vocabulary: ``NEAR`` words of ``LONGEST`` bytes at most."""
-    near = (F.col("n_all") * NEAR >= total) & (F.octet_length("word") <= LONGEST)
-    frequent = vocabulary.filter(near | (F.col("word") == F.lit(bytearray(END))))
-    rows = sorted(((-r["n_all"], bytes(r["word"]), r["n_train"]) for r in frequent.collect()))
+def is_near(total: int) -> Column:
+    """Whether a word of a counted vocabulary with ``total`` training tokens is in the lookup."""
+    frequent = (F.col("n_train") * NEAR >= total) & (F.col("n_train") >= EVIDENCE)
+    return frequent | (F.col("word") == F.lit(bytearray(END)))
+
+
+def lookup(vocabulary: DataFrame, total: int) -> tuple[Lookup, np.ndarray]:
+    """The near words of a counted vocabulary, the end first, then by training count; and their bins."""
+    key = F.when(F.octet_length("word") > LONG, F.concat(F.lit(bytearray(b"\n")), F.unhex(F.md5("word")))).otherwise(F.col("word"))
+    near = vocabulary.filter(is_near(total)).select(key.alias("key"), F.substring("word", -3, 3).alias("last"), "n_train")
+    rows = sorted(((-r["n_train"], bytes(r["key"]), bytes(r["last"])) for r in near.collect()))
     rows.sort(key=lambda r: r[1] != END)
-    owned = max(1, sum(-n * OWN >= total for n, _, _ in rows))
     if not rows or rows[0][1] != END:
-        rows.insert(0, (0, END, 0))
-    places = {word: i for i, (_, word, _) in enumerate(rows)}
-    logs = np.log10(np.array([r[2] for r in rows]) + ADD)
-    own_unit = np.arange(len(rows))
-    units = np.array([u if u < owned else owned + zlib.crc32(r[1][-3:]) % BINS for u, r in zip(own_unit, rows, strict=True)])
-    return Lookup(places, logs, np.array([r[2] > 0 for r in rows]), units, owned)
+        rows.insert(0, (0, END, END))
+    owned = max(1, sum(-n * OWN >= total for n, _, _ in rows))
+    places = {key: i for i, (_, key, _) in enumerate(rows)}
+    logs = np.log10(np.array([-n for n, _, _ in rows]) + ADD)
+    return Lookup(places, logs, owned), np.array([bin_of(last) for _, _, last in rows])
+
+
+def _encoded(rows: DataFrame, shared) -> DataFrame:
+    """``(id, row, train, n_tokens, ids, rare)``: the places of a text's tokens, packed, and its words without one."""
+    kind = rows.schema["id"].dataType
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, pack = shared.value, zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            ids, rare, n = [], [], []
+            for text in batch.column("text"):
+                places, words = table.encode(tokens(text.as_py()))
+                ids.append(pack(places.tobytes()))
+                rare.append(words)
+                n.append(len(places))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("row"), batch.column("train"), pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(rare, pa.list_(pa.binary()))],
+                ["id", "row", "train", "n_tokens", "ids", "rare"],
+            )
 
+    numbered = rows.select("id", F.monotonically_increasing_id().alias("row"), "train", "text")
+    return numbered.mapInArrow(encode, f"id {kind.simpleString()}, row long, train boolean, n_tokens long, ids binary, rare array<binary>")
 
-def count_pairs(docs: DataFrame, shared) -> DataFrame:
-    """``(a, b, n)`` of neighbouring units in the training texts; a text begins after an end."""
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table: Lookup = shared.value
-        size = table.owned + BINS
-        for part in batches:
-            keys = [np.zeros(0, np.int64)]
-            for text in part["text"]:
-                units = table.units_of(table.split(tokens(text))[0])
-                keys.append(np.concatenate([[0], units[:-1]]) * size + units)
-            pairs, n = np.unique(np.concatenate(keys), return_counts=True)
-            yield pd.DataFrame({"a": pairs // size, "b": pairs % size, "n": n})
-
-    counts = docs.filter("train").select("text").mapInPandas(counted, "a int, b int, n long")
+def _places(ids: pa.Array) -> list[np.ndarray]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [np.frombuffer(unpack(x.as_py()), np.int32) for x in ids]
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """The places of whole texts one after the other, about ``TOKENS`` at a time; each text ends with the end."""
+    held, n = [], 0
+    for batch in batches:
+        for places in _places(batch.column("ids")):
+            held.append(places)
+            n += len(places)
+            if n >= TOKENS:
+                yield np.concatenate(held)
+                held, n = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def _before(places: np.ndarray) -> np.ndarray:
+    """The place before each; a text begins after an end, which is place 0 and the last of each text."""
+    return np.concatenate([[0], places[:-1]])
+
+
+def count_pairs(rows: DataFrame, units: np.ndarray) -> DataFrame:
+    """``(a, b, n)`` of neighbouring units in the training texts."""
+    size = int(units.max()) + 1
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+        for places in _pieces(batches):
+            keys = units[_before(places)].astype(np.int64) * size + units[places]
+            pairs, n = np.unique(keys, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs // size), pa.array(pairs % size), pa.array(n)], ["a", "b", "n"])
+
+    counts = rows.filter("train").select("ids").mapInArrow(counted, "a long, b long, n long")
     return counts.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -131,14 +206,11 @@ def likelihood(matrix: np.ndarray) -> float:
     return float(_xlogx(matrix).sum() - _xlogx(matrix.sum(0)).sum() - _xlogx(matrix.sum(1)).sum())
 
 
-def moved(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, itself: float) -> int:
-    """The class in which a unit of class ``own`` makes the corpus most likely; ``matrix`` follows.
+def gains(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, itself: float) -> tuple[np.ndarray, np.ndarray]:
+    """How likely the corpus is with a unit of class ``own`` in each class; and the matrix without the unit.
 
-    ``after`` and ``before`` count its neighbours by class, ``itself`` its pairs with itself.
+    ``after`` and ``before`` count its neighbours by class, but for its ``itself`` pairs with itself.
     """
-    after, before = after.copy(), before.copy()
-    after[own] -= itself
-    before[own] -= itself
     rest = matrix.copy()
     rest[own, :] -= after
     rest[:, own] -= before
@@ -152,6 +224,18 @@ def moved(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, i
     left, right = rest.sum(1) + before, rest.sum(0) + after  # wherever the unit goes
     gain -= _xlogx(left + after.sum() + itself) - _xlogx(left)
     gain -= _xlogx(right + before.sum() + itself) - _xlogx(right)
+    return gain, rest
+
+
+def moved(matrix: np.ndarray, own: int, after: np.ndarray, before: np.ndarray, itself: float) -> int:
+    """The class in which a unit of class ``own`` makes the corpus most likely; ``matrix`` follows.
+
+    ``after`` and ``before`` count its neighbours by class, ``itself`` its pairs with itself.
+    """
+    after, before = after.copy(), before.copy()
+    after[own] -= itself
+    before[own] -= itself
+    gain, rest = gains(matrix, own, after, before, itself)
     best = int(gain.argmax())
     to = best if gain[best] > gain[own] + 1e-6 else own
     if to != own:
@@ -211,6 +295,122 @@ def exchange(pairs: DataFrame, units: int, classes: int = CLASSES, rounds: int =
     return best[1], best[2]
 
 
+def neighbours(rows: DataFrame, kinds: np.ndarray, classes: int) -> DataFrame:
+    """``(place, counts)``: of each place the classes after it, before it, and its pairs with itself.
+
+    ``kinds`` are the classes of the places. Tasks count their texts together before rows are
+    exchanged, and send of a place the classes that occur.
+    """
+    wide = 2 * classes + 1
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merge() -> None:
+            keys, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            keys, inverse = np.unique(keys, return_inverse=True)
+            held[:] = [(keys, np.bincount(inverse, n).astype(np.int64))]
+
+        for places in _pieces(batches):
+            before = _before(places).astype(np.int64)
+            kind, kind_before = kinds[places], kinds[before]
+            equal = before[before == places]
+            keys = np.concatenate([before * wide + kind, places * np.int64(wide) + classes + kind_before, equal * wide + 2 * classes])
+            held.append(np.unique(keys, return_counts=True))
+            if len(held) > 4:
+                merge()
+        if not held:
+            return
+        merge()
+        (keys, n), = held
+        place, first = np.unique(keys // wide, return_index=True)
+        for at in range(0, len(place), 1 << 14):
+            ends = np.append(first, len(keys))[at : at + (1 << 14) + 1]
+            part = slice(ends[0], ends[-1])
+            offsets = pa.array((ends - ends[0]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(place[at : at + (1 << 14)]),
+                    pa.ListArray.from_arrays(offsets, pa.array((keys[part] % wide).astype(np.int16))),
+                    pa.ListArray.from_arrays(offsets, pa.array(n[part])),
+                ],
+                ["place", "slot", "n"],
+            )
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for place, slots, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                if place not in rows:
+                    rows[place] = np.zeros(wide, np.int64)
+                rows[place][slots.values.to_numpy()] += n.values.to_numpy()
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array([r.tobytes() for r in rows.values()], pa.binary())], ["place", "counts"])
+
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = rows.filter("train").select("ids").mapInArrow(counted, "place long, slot array<short>, n array<long>")
+    return sent.repartition(parts, "place").mapInArrow(summed, "place long, counts binary")
+
+
+def _matrix(counts: DataFrame, kinds: np.ndarray, classes: int) -> np.ndarray:
+    """Pairs of classes, from the classes after each place."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((classes, classes), np.int64)
+        for batch in batches:
+            for place, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                total[kinds[place]] += np.frombuffer(row.as_py(), np.int64)[:classes]
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["part"])
+
+    parts = counts.select("place", "counts").mapInArrow(summed, "part binary").collect()
+    return sum((np.frombuffer(r["part"], np.int64) for r in parts), np.zeros(classes**2, np.int64)).reshape(classes, classes).astype(float)
+
+
+def sweeps(rows: DataFrame, kinds: np.ndarray, near: int, owned: int, classes: int = CLASSES, most: int = SWEEPS) -> tuple[np.ndarray, np.ndarray, list[float]]:
+    """Classes of all places after sweeps over the ``near`` ones; the class matrix; log-likelihoods a token.
+
+    In a sweep each word goes to the class in which it makes the corpus most likely, the others being
+    where they are; the words are dealt over the tasks with the counts of their neighbours, and only
+    their classes come back. As words move at the same time, a sweep takes one half of them by a hash,
+    the first one all but the ``owned`` ones. A sweep that makes the corpus less likely is undone, and
+    is the last, as is one that gains less than ``SETTLED`` a token.
+    """
+    best: tuple = (-np.inf, kinds, np.zeros((classes, classes)))
+    history: list[float] = []
+    for turn in range(most + 1):
+        counts = settle(neighbours(rows, kinds, classes), "neighbours")
+        matrix = _matrix(counts, kinds, classes)
+        value = likelihood(matrix) / max(matrix.sum(), 1)
+        history.append(value)
+        gained = value - best[0]
+        if gained > 0:
+            best = (value, kinds, matrix)
+        if gained < SETTLED or turn == most:
+            break
+
+        def move(batches: Iterator[pa.RecordBatch], kinds=kinds, matrix=matrix, turn=turn) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = []
+                for place, row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                    if place >= near or (place < owned if turn == 0 else zlib.crc32(b"%d" % place) % 2 == turn % 2):
+                        continue
+                    own, n = int(kinds[place]), np.frombuffer(row.as_py(), np.int64).astype(float)
+                    after, before, itself = n[:classes].copy(), n[classes : 2 * classes].copy(), n[-1]
+                    after[own] -= itself
+                    before[own] -= itself
+                    gain, _ = gains(matrix, own, after, before, itself)
+                    to = int(gain.argmax())
+                    if to != own and gain[to] > gain[own] + 1e-6:
+                        out.append((place, to))
+                places, to = zip(*out, strict=True) if out else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(to, pa.int32())], ["place", "kind"])
+
+        kinds = kinds.copy()
+        for r in counts.mapInArrow(move, "place long, kind int").toLocalIterator():  # near words: a million at most
+            kinds[r["place"]] = r["kind"]
+    return best[1], best[2], history
+
+
 def transitions(matrix: np.ndarray, tokens_in: np.ndarray, words_in: np.ndarray, total: float, trust: float = TRUST) -> np.ndarray:
     """log10 of what a token's count is multiplied with, by the class before it and its own.
 
@@ -221,6 +421,42 @@ def transitions(matrix: np.ndarray, tokens_in: np.ndarray, words_in: np.ndarray,
     return np.log10(trust * follow / (tokens_in + ADD * (words_in + 1))[None, :] + (1 - trust) / total)
 
 
+@dataclass
+class Model:
+    """A fitted model: the lookup, the class of each place, what a token's count is multiplied with, totals."""
+
+    table: Lookup
+    kinds: np.ndarray
+    step: np.ndarray
+    train: int
+    words: int
+    history: list[float]
+
+    @property
+    def total(self) -> float:
+        """Denominator of a word's probability in the whole corpus."""
+        return self.train + ADD * (self.words + 1)
+
+
+def fit(vocabulary: DataFrame, rows: DataFrame, table: Lookup, bins: np.ndarray, classes: int = CLASSES, rounds: int = ROUNDS) -> Model:
+    """Classes and probabilities from a counted vocabulary and encoded rows, of which the training rows count."""
+    sums = vocabulary.agg(F.sum("n_train").alias("train"), F.count_if(F.col("n_train") > 0).alias("words")).first()
+    train, words = sums["train"] or 0, sums["words"]
+    units = table.units(bins)
+    assigned, _ = exchange(settle(count_pairs(rows, units), "pairs"), table.owned + BINS, classes, rounds)
+    near = len(table.places)
+    kinds, matrix, history = sweeps(rows, assigned[units], near, table.owned, classes)
+    sizes = np.zeros((2, classes))
+    for place, log in enumerate(table.logs):
+        n = round(10**log - ADD)
+        sizes[:, kinds[place]] += (n, n > 0)
+    far = vocabulary.filter(~is_near(train) & (F.col("n_train") > 0))
+    last = (F.crc32(F.substring("word", -3, 3)) % BINS).cast("int")
+    for r in far.groupBy(last.alias("bin")).agg(F.sum("n_train").alias("n"), F.count("*").alias("v")).collect():
+        sizes[:, kinds[near + r["bin"]]] += (r["n"], r["v"])
+    return Model(table, kinds, transitions(matrix, sizes[0], sizes[1], train + ADD * (words + 1)), train, words, history)
+
+
 def score(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -236,56 +472,40 @@ def score(
     their end alone; null ids count as training rows and repeated rows each time; an empty table
     gives no rows. A word never seen in training has the count 0 in its class and in the corpus.
 
-    The vocabulary grows with the corpus and stays in a table. Frequent words, of a number that a
-    share of all tokens bounds, are looked up in place; the others are joined by the word, which
-    none of them makes hot, and summed up by row.
+    The vocabulary grows with the corpus and stays in a table. Texts are read twice, to count words
+    and to encode them; what follows reads the encoded rows. Near words are looked up in place; the
+    others are joined by the word, which none of them makes hot, and summed up by row.
     """
+    return scored(docs, id_col, text_col, folds, fold, classes, rounds)[0]
+
+
+def scored(docs: DataFrame, id_col: str, text_col: str, folds: int = 10, fold: int = 0, classes: int = CLASSES, rounds: int = ROUNDS) -> tuple[DataFrame, Model]:
+    """``score`` and the model that it comes from."""
     rows = docs.select(column(id_col).alias("id"), column(text_col).alias("text")).withColumn(
         "train", ~held_out("id", folds, fold)
     )
-    context = docs.sparkSession.sparkContext
     vocabulary = settle(count_words(rows), "vocabulary")
-    sums = vocabulary.agg(
-        F.sum("n_all").alias("all"), F.sum("n_train").alias("train"), F.count_if(F.col("n_train") > 0).alias("words")
-    ).first()
-    everything, train, words = sums["all"] or 0, sums["train"] or 0, sums["words"]
-    table = lookup(vocabulary, everything)
-    units = table.owned + BINS
-    shared = context.broadcast(table)
-    pairs = settle(count_pairs(rows, shared), "pairs")
-    assigned, matrix = exchange(pairs, units, classes, rounds)
-
-    @F.pandas_udf("int")
-    def unit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in batches:
-            yield pd.Series([shared.value.unit(bytes(w)) for w in part], dtype="int32")
-
-    sizes = np.zeros((2, classes))
-    seen = vocabulary.filter("n_train > 0").groupBy(unit("word").alias("u"))
-    for r in seen.agg(F.sum("n_train").alias("n"), F.count("*").alias("v")).collect():
-        sizes[:, assigned[r["u"]]] += (r["n"], r["v"])
-    total = train + ADD * (words + 1)
-    step = transitions(matrix, sizes[0], sizes[1], total)
+    table, bins = lookup(vocabulary, vocabulary.agg(F.sum("n_train")).first()[0] or 0)
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    packed_rows = settle(_encoded(rows, shared), "encoded")
+    model = fit(vocabulary, packed_rows, table, bins, classes, rounds)
+    kinds, step, logs, near = model.kinds, model.step, table.logs, len(table.places)
 
-    @F.pandas_udf("n_tokens long, near_log double, near_known long, steps double, rare array<binary>")
+    @F.pandas_udf("near_log double, near_known long, steps double")
     def measured(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        near: Lookup = shared.value
         for part in batches:
             out = []
-            for text in part:
-                places, rare = near.split(tokens(text))
-                kind = assigned[near.units_of(places)]
-                before = np.concatenate([[assigned[0]], kind[:-1]])
-                found = places[places >= 0]
-                out.append((len(places), near.logs[found].sum(), near.known[found].sum(), step[before, kind].sum(), rare))
-            yield pd.DataFrame(out, columns=["n_tokens", "near_log", "near_known", "steps", "rare"])
-
-    scored = settle(
-        rows.select("id", F.monotonically_increasing_id().alias("row"), measured("text").alias("m")).select("id", "row", "m.*"),
-        "measured",
-    )
+            for places in _places(pa.array(part, pa.binary())):
+                kind = kinds[places]
+                before = np.concatenate([[kinds[0]], kind[:-1]])
+                found = places[places < near]
+                out.append((logs[found].sum(), (logs[found] > known).sum(), step[before, kind].sum()))
+            yield pd.DataFrame(out, columns=["near_log", "near_known", "steps"])
+
+    known = float(np.log10(ADD)) + 1e-6
+    near_rows = packed_rows.select("id", "row", "n_tokens", measured("ids").alias("m"))
     far = (
-        scored.select("row", F.explode("rare").alias("word"))
+        packed_rows.select("row", F.explode("rare").alias("word"))
         .join(vocabulary.select("word", "n_train"), "word", "left")
         .groupBy("row")
         .agg(
@@ -293,13 +513,14 @@ def score(
             F.count_if(F.col("n_train") > 0).alias("far_known"),
         )
     )
-    logs = F.col("near_log") + F.coalesce("far_log", F.lit(0.0))
-    return scored.drop("rare").join(far, "row", "left").select(
+    sums = F.col("m.near_log") + F.coalesce("far_log", F.lit(0.0))
+    found = near_rows.join(far, "row", "left").select(
         F.col("id").alias(id_col),
         held_out("id", folds, fold).alias("held_out"),
         "n_tokens",
-        (F.col("near_known") + F.coalesce("far_known", F.lit(0))).alias("n_known"),
-        F.lit(train).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * F.lit(float(np.log10(total)))).alias("base_score"),
-        (logs + F.col("steps")).alias("score"),
+        (F.col("m.near_known") + F.coalesce("far_known", F.lit(0))).alias("n_known"),
+        F.lit(model.train).cast("long").alias("train_tokens"),
+        (sums - F.col("n_tokens") * F.lit(float(np.log10(model.total)))).alias("base_score"),
+        (sums + F.col("m.steps")).alias("score"),
     )
+    return found, model
