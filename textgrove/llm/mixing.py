@@ -231,8 +231,11 @@ def mix(
         docs.select(key.alias("key"), column(source_col).cast("string").alias("source"), word_count(column(text_col)).alias("size")),
         "sizes",
     )
-    copies = settle(
-        _mixed(rows, weights, most, share, seed).groupBy("key").agg(F.sum("copies").alias("copies")).filter("copies > 0"), "copies"
-    )
-    chosen = packed(docs, key=key).join(copies, "key").dropDuplicates(["key"])
+    mixed = _mixed(rows, weights, most, share, seed)
+    by_key = mixed.groupBy("key").agg(F.sum("copies").alias("copies"), F.sum("times").alias("times"))
+    copies = settle(by_key.filter("copies > 0"), "copies")
+    whole, several = packed(docs, key=key), copies.filter("times > 1")
+    chosen = whole.join(copies.filter("times = 1"), "key")
+    if not several.isEmpty():
+        chosen = chosen.union(whole.join(several, "key").dropDuplicates(["key"]))
     return unpacked(chosen.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies")))))

@@ -162,19 +162,26 @@ def one_of_each(
 
     Ids sort before nulls. Rows that share the smallest id are told apart by a hash of all their
     columns; of fully equal rows one stays. All columns are kept.
+
+    The decisions are made on ids and hashes. The documents are then read once more and lose the rows
+    of a table of those that go; only rows that are repeated in full are compared with each other.
     """
     marked = docs.select(
         row_hash(docs).alias("row"), fingerprints(column(text_col), shingle).alias("fp"), column(id_col).alias("id")
     )
+    marks = settle(marked, "marks")
     order = F.struct(F.col("id").isNull().alias("last"), "id", "row")
-    rows = settle(marked.groupBy("fp").agg(F.min(order).alias("first")), "firsts")
+    rows = settle(marks.groupBy("fp").agg(F.min(order).alias("first")), "firsts")
     roots = settle(components(links(rows.select("fp"), bits)), "roots")
-    stays = settle(
-        rows.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-        .groupBy(F.coalesce("root", "fp").alias("root"))
-        .agg(F.min("first").alias("first"))
-        .select(F.col("first.id").alias("_id"), F.col("first.row").alias("_row")),
-        "stays",
-    )
-    kept = packed(docs, _row=row_hash(docs), _id=column(id_col))
-    return unpacked(match(kept, stays, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"]))
+    named = rows.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    best = named.groupBy("root").agg(F.min("first").alias("best"))
+    stays = settle(named.join(best, "root").select("fp", F.col("best.id").alias("_id"), F.col("best.row").alias("_row")), "stays")
+    other = ~(F.col("id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")))
+    gone = settle(marks.join(stays, "fp").filter(other).select(F.col("id").alias("_id"), F.col("row").alias("_row")).distinct(), "gone")
+    several = marks.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(F.count("*").alias("n")).filter("n > 1")
+    repeated = settle(match(several.drop("n"), gone, ["_id", "_row"], "left_anti"), "repeated")
+    whole = packed(docs, _row=row_hash(docs), _id=column(id_col))
+    kept = match(whole, gone.union(repeated), ["_id", "_row"], "left_anti")
+    if not repeated.isEmpty():
+        kept = kept.union(match(whole, repeated, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"]))
+    return unpacked(kept)
