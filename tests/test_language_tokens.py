@@ -1,5 +1,8 @@
 """Languages, vocabularies and token ids on small fixtures."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from textgrove.operators import language as L
@@ -133,3 +136,41 @@ def test_long_words_count_in_full(spark, monkeypatch):
     assert "abcdefghij" in got and "##bcdefghij" in got
     words = K.word_pieces(counts, K.vocabulary_ids(K.build_vocabulary(counts, 60))).collect()
     assert {r["word"]: list(r["ids"]) for r in words}["abcdefghij"] == [got["abcdefghij"]]
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 700, 0])
+def test_lemmas_of_tables_of_any_size(spark, max_bytes):
+    """Looked up in place; only the words that occur; joined: the same lemmas in the same order."""
+    rows = spark.createDataFrame(
+        [(1, "en", ["dogs", "and", "cats", "dogs"]), (2, "de", ["dogs"]), (3, None, ["dogs"]), (4, "en", []), (5, "en", ["same"])],
+        "id long, lang string, tokens array<string>",
+    )
+    table = [("en", "dogs", "dog"), ("en", "dogs", "doge"), ("en", "cats", "cat"), ("en", "same", "same"), ("fr", "chiens", "chien")]
+    table += [("en", f"word{i}", "word") for i in range(50)]
+    lemmas = spark.createDataFrame(table, "lang string, word string, lemma string")
+    got = {r["id"]: r["tokens"] for r in L.lemmatize(rows, lemmas, "id", max_bytes=max_bytes).collect()}
+    assert got == {1: ["dog", "and", "cat", "dog"], 2: ["dogs"], 3: ["dogs"], 4: [], 5: ["same"]}
+
+
+def test_batches_by_length(spark):
+    rng = random.Random(8)
+    rows = [(i, i % 2, [1] * rng.randint(1, 200)) for i in range(500)]
+    table = spark.createDataFrame(rows, "id long, part int, input_ids array<int>").repartition(4)
+    for by in ([], ["part"]):
+        batched = K.length_batches(table, batch_size=16, by=by)
+        found = batched.collect()
+        assert sorted(r["id"] for r in found) == list(range(500)) and set(batched.columns) == {"id", "part", "input_ids", "batch_id", "attention_mask"}
+        groups = {}
+        for r in found:
+            groups.setdefault((r["part"] if by else 0, r["batch_id"]), []).append(r)
+        sizes = [len(g) for g in groups.values()]
+        assert sizes.count(16) >= len(sizes) - max(1, 2 * len(by)) and max(sizes) == 16
+        for g in groups.values():
+            assert len({len(r["input_ids"]) for r in g}) == 1 and max(sum(r["attention_mask"]) for r in g) == len(g[0]["input_ids"])
+        order = [max(sum(r["attention_mask"]) for r in groups[k]) for k in sorted(groups)]
+        assert order != sorted(order)  # batches are not in order of length
+        share = lambda b: K.padding_share(b).first()["padding"]
+        assert share(batched) < share(K.pad_batches(table, batch_size=16, by=by)) / 3
+    again = {r["id"]: r["batch_id"] for r in K.length_batches(table.repartition(7), batch_size=16).collect()}
+    assert again == {r["id"]: r["batch_id"] for r in K.length_batches(table, batch_size=16).collect()}
+    assert K.length_batches(table.limit(0), batch_size=16).count() == 0

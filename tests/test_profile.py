@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from textgrove.operators import profile as P
+from textgrove.operators import sketches
 
 
 def test_histogram_of_one_value(spark):
@@ -45,3 +46,22 @@ def test_advice(spark):
     got = {r["rule"]: (r["finding"], r["value"]) for r in P.advice(P.analyze(df)).collect()}
     assert got["size"][0].startswith("small") and got["max_length"][1] == 512
     assert got["balance"] == ("imbalanced: weight or resample", 5.0) and got["classes"][0] == "binary: sigmoid"
+
+
+def test_profiles_put_together(spark):
+    """Parts of any number give what one part of all rows gives; empty parts and nulls do no harm."""
+    rows = spark.range(20000).select((F.col("id") % 7).alias("part"), F.when(F.col("id") % 11 > 0, (F.col("id") * 7919) % 5003).alias("v"))
+    whole = {r["value"]: r for r in sketches.merged_profile(sketches.profile_parts(rows, [], ["v"])).collect()}["v"]
+    parts = sketches.profile_parts(rows, ["part"], ["v"])
+    none = sketches.profile_parts(rows.filter("part = 0 and v is null"), ["part"], ["v"])
+    merged = sketches.merged_profile(parts).first()
+    exact = rows.agg(F.count("v"), F.avg("v"), F.stddev_samp("v"), F.count_distinct("v")).first()
+    for found in (whole, merged):
+        assert found["rows"] == 20000 and found["count"] == exact[0]
+        assert abs(found["mean"] - exact[1]) < 1e-6 and abs(found["std"] - exact[2]) < 1e-6
+        assert abs(found["distinct"] / exact[3] - 1) < 0.04
+        for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+            assert abs(rows.filter(F.col("v") <= found[q]).count() / exact[0] - p) < 0.015
+    empty = sketches.merged_profile(none).first()
+    assert empty["count"] == 0 and empty["distinct"] == 0 and empty["q50"] is None and empty["std"] is None
+    assert sketches.merged_profile(parts, ["part"]).count() == 7

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textgrove.operators import scale, split as S
+from textgrove.operators.split import largest_remainder
 
 
 def rows(spark, n=1000, partitions=4):
@@ -111,3 +112,12 @@ def test_release_leaves_no_intermediate_tables(spark, tmp_path, monkeypatch):
     assert len(list(tmp_path.iterdir())) == 2
     scale.release(spark)
     assert [p.name for p in tmp_path.iterdir()] == ["result"]
+
+
+def test_many_classes_are_ranked_by_ranges(spark):
+    """The same shares whether one task ranks the classes or ranges of them are ranked."""
+    classes = spark.createDataFrame([(None if i == 5 else i, 3 + i * 7 % 11) for i in range(60)], "label int, size long")
+    total = classes.agg(F.sum("size")).first()[0]
+    for take in (0, 17, 100, total):
+        a, b = ({(r["label"], r["size"]): r["k"] for r in largest_remainder(classes, "size", total, take, "label", "k", many).collect()} for many in (False, True))
+        assert a == b and sum(a.values()) == take

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textgrove.functions.tokens import attention_mask, frame, pad, pretokenize
-from textgrove.operators.scale import seeded_rank, settle
+from textgrove.operators.scale import match, running_totals, seeded_hash, seeded_rank, settle
 
 # Special tokens, by role.
 SPECIALS = {"pad": "[PAD]", "unk": "[UNK]", "cls": "[CLS]", "sep": "[SEP]", "mask": "[MASK]"}
@@ -211,6 +211,46 @@ def pad_batches(
     ).drop("_length")
 
 
+def length_batches(
+    df: DataFrame,
+    id_col: str = "id",
+    ids: str = "input_ids",
+    batch_size: int = 1000,
+    pad_id: int = 0,
+    seed: int | str = 42,
+    by: list[str] | None = None,
+) -> DataFrame:
+    """``pad_batches`` with batches of rows of about one length, so that little is padded (TOK-6).
+
+    Rows are ranked by length, equal lengths in a seeded order, and cut into batches of ``batch_size``;
+    the batches have a seeded order of their own, so that lengths do not rise through an epoch. Another
+    seed gives other batches of the same lengths. Only ids and lengths are ranked, by ranges; of the rows
+    nothing moves but for the one join that gives them their batch. ``id_col`` is unique.
+    """
+    by = by or []
+    sizes = df.select(*by, F.col(id_col).alias("_id"), F.size(ids).alias("_size"), seeded_hash(id_col, seed).alias("_hash"))
+    ranked = running_totals(sizes.withColumn("_one", F.lit(1)), ["_size", "_hash", "_id"], ["_one"], by)
+    placed = settle(ranked.select(*by, "_id", "_size", F.floor(F.col("_one_before") / batch_size).alias("_batch")), "placed")
+    longest = settle(placed.groupBy(*by, "_batch").agg(F.max("_size").alias("_length")), "longest")
+    ordered = seeded_rank(longest, "_batch", seed, by, "_rank")
+    batches = ordered.select(*by, "_batch", "_length", (F.col("_rank") - 1).cast("long").alias("batch_id"))
+    known = match(placed.drop("_size"), settle(batches, "batches"), [*by, "_batch"]).select("_id", "_length", "batch_id")
+    filled = df.join(known, F.col(id_col) == F.col("_id")).drop("_id")
+    return filled.withColumns(
+        {
+            "attention_mask": attention_mask(F.col(ids), F.col("_length")),
+            ids: pad(F.col(ids), F.col("_length"), pad_id),
+        }
+    ).drop("_length")
+
+
+def padding_share(batched: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Places of padded rows, those that hold tokens, and the share of padding (TOK-6)."""
+    tokens = F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x)
+    sums = batched.groupBy(*(by or [])).agg(F.sum(F.size("attention_mask")).alias("places"), F.sum(tokens).alias("tokens"))
+    return sums.withColumn("padding", 1 - F.col("tokens") / F.col("places"))
+
+
 def pad_fixed(df: DataFrame, length: int, ids: str = "input_ids", pad_id: int = 0) -> DataFrame:
     """Pad each row to a fixed length and add the mask (TOK-6)."""
     return df.withColumns(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textgrove.operators import profile as P
-from textgrove.operators.scale import settle
+from textgrove.operators import sketches as K
+from textgrove.operators.scale import new_path, settle
 from textgrove.operators.split import three_way_split
 from textgrove.queries.common import LABELLED, documents, labelled, query, rounded, table
 from textgrove.queries.split import THREE_WAY
@@ -155,6 +156,29 @@ def describe_fast(spark, sf_dir):
     return _doubles(found.join(ranks, "lang").select("lang", "count", "mean", "std", "min", "max", *near))
 
 
+@query("agg_06_merged_profile", f"""
+WITH m AS (SELECT 'chars' AS value, length(text)::DOUBLE AS v FROM documents UNION ALL SELECT 'words', {WORDS}::DOUBLE FROM documents)
+SELECT value, count(*) AS rows, count(v) AS count, round(avg(v), 6) AS mean, round(stddev_samp(v), 6) AS std, min(v) AS min, max(v) AS max,
+       true AS q25_near, true AS q50_near, true AS q75_near, true AS distinct_near FROM m GROUP BY value""")
+def merged_profile(spark, sf_dir):
+    """Sketches of each language, written one after the other and put together; errors within 1.5 % of the ranks, 4 % of the values."""
+    path, measured = new_path(spark, "parts"), settle(P.measure(documents(spark, sf_dir)).select("lang", "chars", "words"), "lengths")
+    for english in (True, False):
+        part = measured.filter((F.col("lang") == "en") == english)
+        K.profile_parts(part, ["lang"], ["chars", "words"]).write.mode("append").parquet(path)
+    found = settle(K.merged_profile(spark.read.schema(f"lang string, {K.PARTS}").parquet(path)), "merged")
+    lengths = measured.select(F.inline(F.array(*[F.struct(F.lit(c).alias("value"), F.col(c).cast("double").alias("v")) for c in ("chars", "words")])))
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    below = lengths.join(found.select("value", *quartiles), "value").groupBy("value").agg(
+        *[(F.avg((F.col("v") < F.col(q)).cast("int")) <= p + 0.015).alias(f"{q}_low") for q, p in quartiles.items()],
+        *[(F.avg((F.col("v") <= F.col(q)).cast("int")) >= p - 0.015).alias(f"{q}_high") for q, p in quartiles.items()],
+        F.count_distinct("v").alias("exact"),
+    )
+    near = [(F.col(f"{q}_low") & F.col(f"{q}_high")).alias(f"{q}_near") for q in quartiles]
+    distinct = (F.abs(F.col("distinct") / F.col("exact") - 1) < 0.04).alias("distinct_near")
+    return rounded(found.join(below, "value").select("value", "rows", "count", "mean", "std", "min", "max", *near, distinct))
+
+
 @query("agg_07_label_shares", f"""
 WITH {LABELLED}
 SELECT label, count(*) AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 2) AS percent

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textgrove.functions.tokens import frame, pretokenize
 from textgrove.operators import tokens as K
 from textgrove.operators.scale import new_path, settle, spread
-from textgrove.queries.common import documents, labelled, query, table
+from textgrove.queries.common import documents, labelled, query, rounded, table
 
 SIZE = 3000
 PATTERN = r"[\p{P}$+<=>^~`|]|[^\s\p{P}$+<=>^~`|]+"
@@ -148,6 +151,45 @@ def pad_batches(spark, sf_dir):
     )
 
 
+BY_LENGTH = """
+framed AS (SELECT e.doc_id, l.quality AS labels, list_concat(list_concat([2], ids[1:510]), [3]) AS ids
+           FROM encoded e JOIN labels l ON e.doc_id = l.doc_id),
+placed AS (SELECT *, CAST(floor((row_number() OVER (ORDER BY len(ids), md5('42:' || doc_id), doc_id) - 1) / 32.0) AS BIGINT) AS batch FROM framed),
+turns AS (SELECT batch, max(len(ids)) AS longest, row_number() OVER (ORDER BY md5('42:' || batch), batch) - 1 AS batch_id FROM placed GROUP BY batch),
+sized AS (SELECT p.*, t.batch_id, t.longest FROM placed p JOIN turns t ON p.batch = t.batch)"""
+
+
+def unpadded(spark, sf_dir):
+    """Framed ids of the labelled texts, written once."""
+    vocab = K.vocabulary_ids(vocabulary(documents(spark, sf_dir)))
+    rows = K.encode(labelled(spark, sf_dir, heavy=True), vocab)
+    return settle(rows.select("id", frame(F.col("ids"), 2, 3).alias("input_ids"), F.col("label").alias("labels")), "tokens")
+
+
+@query("tok_06_length_batches", f"WITH RECURSIVE {ENCODED}, {BY_LENGTH} {PADDED_SELECT}")
+def length_batches(spark, sf_dir):
+    rows = K.length_batches(unpadded(spark, sf_dir), batch_size=32)
+    return rows.select(
+        "id", "batch_id", "labels",
+        joined("input_ids").alias("input_ids"), joined("attention_mask").alias("attention_mask"),
+    )
+
+
+SHARE_SQL = "SELECT '{}' AS batches, sum(longest)::BIGINT AS places, sum(len(ids))::BIGINT AS tokens, round(1 - sum(len(ids)) / sum(longest), 6) AS padding"
+
+
+@query("tok_06_padding_share", f"""
+WITH RECURSIVE {ENCODED}, {PADDED},
+by_length AS (WITH {BY_LENGTH} SELECT * FROM sized)
+{SHARE_SQL.format('shuffled')} FROM sized UNION ALL {SHARE_SQL.format('by_length')} FROM by_length""")
+def padding_share(spark, sf_dir):
+    """What is padded in shuffled batches and in batches by length."""
+    rows, size = unpadded(spark, sf_dir), 32
+    kinds = {"shuffled": K.pad_batches(rows, batch_size=size), "by_length": K.length_batches(rows, batch_size=size)}
+    shares = [K.padding_share(b).withColumn("batches", F.lit(name)) for name, b in kinds.items()]
+    return rounded(reduce(DataFrame.union, shares))
+
+
 @query("tok_07_tokenize", f"""
 WITH RECURSIVE {ENCODED}, {PADDED},
 fixed AS (SELECT * REPLACE (512 AS longest), NULL AS nothing FROM sized)
