@@ -19,16 +19,18 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textgrove.llm.quality_model import held_out
 from textgrove.llm.words import column
 
 #: Bytes of a window; commonest words in both dictionaries.
 WINDOW, COMMON = 256, 100
-#: Labelled rows of each label that are learned from at most, and the characters a row of them may have.
-ROWS, ROW_CHARS = 2000, 1 << 16
-#: Savings of a window, in bytes, whose shares are features of a text.
-THRESHOLDS = (2, 4, 6, 8)
+#: Labelled rows of each label that are learned from at most, the characters a row of them may have,
+#: and the characters that all rows of a label may have together.
+ROWS, ROW_CHARS, ALL_CHARS = 2000, 1 << 16, 1 << 24
+#: Shares of the ordinary windows that may reach the thresholds; these are calibrated on the fitting rows.
+TAILS = (0.3, 0.1, 0.03, 0.01)
 #: Lengths of the segments that may tell a side, and the least documents that hold one.
 SEGMENTS, LEAST = (5, 6, 7, 8, 9, 10), 5
 
@@ -54,7 +56,7 @@ def _word_segments(word: str) -> tuple[str, ...]:
 
 def segments(text: str) -> set[str]:
     """Runs of characters inside the words of a text, the space before and after them included."""
-    return set().union(*map(_word_segments, set(re.findall(r"\w{1,40}", text.lower()))))
+    return set().union(*map(_word_segments, set(re.findall(r"\w+", text.lower()))))
 
 
 def telling(own: Iterable[str], other: Iterable[str], most: int = 400) -> list[str]:
@@ -108,7 +110,8 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
 class Distances:
     """Compressors primed with the two dictionaries."""
 
-    def __init__(self, toxic: bytes, ordinary: bytes):
+    def __init__(self, toxic: bytes, ordinary: bytes, thresholds: tuple[int, ...] = ()):
+        self.thresholds = thresholds
         settings = zstandard.ZstdCompressionParameters(
             window_log=17, hash_log=14, chain_log=14, search_log=6, min_match=3, target_length=32,
             strategy=zstandard.STRATEGY_BTOPT, write_content_size=0, write_checksum=0, write_dict_id=0,
@@ -119,16 +122,34 @@ class Distances:
             primed.precompute_compress(compression_params=settings)
             self.sides.append(zstandard.ZstdCompressor(compression_params=settings, dict_data=primed))
 
-    def of(self, text: str | None) -> list[float]:
-        """Bytes saved by the toxic dictionary: a hundred bytes, a window, at most, shares above thresholds."""
+    def saved(self, text: str | None) -> tuple[list[int], int]:
+        """Bytes that the toxic dictionary saves on each window, and bytes of all of them."""
         toxic, ordinary = (side.compress for side in self.sides)
         saved, size = [], 0
         for window in windows(text):
             saved.append(len(ordinary(window)) - len(toxic(window)))
             size += len(window)
+        return saved, size
+
+    def of(self, text: str | None) -> list[float]:
+        """Bytes saved by the toxic dictionary: a hundred bytes, a window, at most, shares that reach the thresholds."""
+        saved, size = self.saved(text)
         values = np.array(saved or [0])
         rate = 100 * values.sum() / (size + 50)
-        return [rate, values.mean(), np.log1p(max(values.max(), 0)), *[(values >= t).mean() for t in THRESHOLDS]]
+        return [rate, values.mean(), np.log1p(max(values.max(), 0)), *[(values >= t).mean() for t in self.thresholds]]
+
+
+def thresholds(distances: Distances, ordinary: list[str], tails: tuple[float, ...] = TAILS) -> tuple[int, ...]:
+    """For each of ``tails`` the least saving that no larger share of the ordinary texts' windows reaches.
+
+    Savings are whole bytes; thresholds are 1 at least, and each is above the one before.
+    """
+    values = np.sort([v for text in ordinary for v in distances.saved(text)[0]] or [0])
+    out: list[int] = []
+    for tail in tails:
+        at = values[min(len(values) - 1, int(np.ceil(len(values) * (1 - tail))))]
+        out.append(int(max(at + (np.mean(values >= at) > tail), out[-1] + 1 if out else 1)))
+    return tuple(out)
 
 
 @dataclass
@@ -173,13 +194,14 @@ def classify(
     threshold: float = 0.3,
     rows: int = ROWS,
     row_chars: int = ROW_CHARS,
+    all_chars: int = ALL_CHARS,
     seed: int = 42,
 ) -> DataFrame:
     """``(id, held_out, score, predicted)`` of every row; ``score`` is the probability of label 1.
 
     Learned from a bounded sample, on the driver: up to ``rows`` labelled rows of each label outside
     the test fold, whole texts of up to ``row_chars`` characters, the first by a seeded hash of the
-    id. Ids are chosen first, and as there are ``rows`` at most, they are sent to the documents. The
+    id, until they have ``all_chars`` together. Ids are chosen first, and as there are ``rows`` at most, they are sent to the documents. The
     curve weighs the rows by the true counts of the labels. All windows of every text of any length are
     compressed; null and empty texts have none and get the curve's value at zero. Null labels and
     ids without a document are left out. Without labels of both classes every score is the share of
@@ -196,20 +218,24 @@ def classify(
         ids = known.filter(F.col("label") == label).select("id").distinct().join(there, "id", "left_semi")
         chosen = ids.orderBy(F.xxhash64(F.lit(seed), "id"), "id").limit(rows)
         found = plain.join(F.broadcast(chosen), "id").filter(F.length("text") <= row_chars)
-        texts[label] = [r["text"] for r in found.orderBy(F.xxhash64(F.lit(seed), "id"), "id", "text").limit(rows).collect()]
+        order = [F.xxhash64(F.lit(seed), "id"), "id", "text"]
+        first = found.orderBy(*order).limit(rows)
+        so_far = F.sum(F.length("text")).over(Window.orderBy(*order))  # over ``rows`` rows at most
+        texts[label] = [r["text"] for r in first.withColumn("so_far", so_far).filter(F.col("so_far") <= all_chars).orderBy(*order).collect()]
     if not (texts[0] and texts[1]):
         total = sum(counts.values())
         score = F.lit(counts.get(1, 0) / total if total else 0.5)
     else:
         contents = dictionaries(texts[1], texts[0])
         measure = Distances(*contents)
+        measure.thresholds = levels = thresholds(measure, texts[0])
         x = np.array([measure.of(t) for k in (0, 1) for t in texts[k]])
         y = np.repeat([0.0, 1.0], [len(texts[0]), len(texts[1])])
         curve = calibrate(x, y, np.repeat([counts[k] / len(texts[k]) for k in (0, 1)], [len(texts[0]), len(texts[1])]))
 
         @F.pandas_udf("double")
         def probability(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            distances = Distances(*contents)
+            distances = Distances(*contents, levels)
             for part in batches:
                 values = np.array([distances.of(t) for t in part]).reshape(len(part), len(curve.weights))
                 yield pd.Series(curve.probability(values), dtype="float64")
