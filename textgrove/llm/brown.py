@@ -43,7 +43,7 @@ CLASSES, ROUNDS, PARTS, TRUST = 64, 12, 4, 0.9
 #: Sweeps over all words at most; they end when one makes a token likelier by less than ``SETTLED`` nats.
 SWEEPS, SETTLED = 4, 0.002
 #: Distinct words, and tokens, that a task holds before it counts them together.
-HELD, TOKENS = 1 << 18, 1 << 20
+HELD, TOKENS = 1 << 19, 1 << 20
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -91,30 +91,25 @@ class Lookup:
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """``(word, n_all, n_train)`` of all texts; ``docs`` has ``text`` and ``train``. Counted in the tasks first."""
+    """``(word, n_train)`` of the training texts; ``docs`` has ``text`` and ``train``. Counted in the tasks first."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every: Counter = Counter()
-        train: Counter = Counter()
+        held: Counter = Counter()
 
         def given() -> pa.RecordBatch:
-            rows = [pa.array(list(every), pa.binary()), pa.array(list(every.values()), pa.int64()), pa.array([train[w] for w in every], pa.int64())]
-            every.clear()
-            train.clear()
-            return pa.RecordBatch.from_arrays(rows, ["word", "n_all", "n_train"])
+            rows = [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())]
+            held.clear()
+            return pa.RecordBatch.from_arrays(rows, ["word", "n_train"])
 
         for batch in batches:
-            for text, learn in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                words = tokens(text.as_py())
-                every.update(words)
-                if learn:
-                    train.update(words)
-                if len(every) >= HELD:
+            for text in batch.column(0):
+                held.update(tokens(text.as_py()))
+                if len(held) >= HELD:
                     yield given()
         yield given()
 
-    counts = docs.select("text", "train").mapInArrow(counted, "word binary, n_all long, n_train long")
-    return counts.groupBy("word").agg(F.sum("n_all").alias("n_all"), F.sum("n_train").alias("n_train"))
+    counts = docs.filter("train").select("text").mapInArrow(counted, "word binary, n_train long")
+    return counts.groupBy("word").agg(F.sum("n_train").alias("n_train"))
 
 
 def is_near(total: int) -> Column:
