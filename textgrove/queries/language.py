@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textgrove.operators import language as L
+from textgrove.operators import segment as G
+from textgrove.operators.scale import settle
 from textgrove.queries.common import LABELLED, SQL, documents, labelled, query, table
 from textgrove.queries.text import clean_sql
 
@@ -111,6 +113,17 @@ SURE = {"en": ["the", "of", "and", "in", "is"], "fr": ["le", "la", "de", "que",
 LISTED = "sure(lang, word) AS (VALUES " + ", ".join(f"('{lang}', '{w}')" for lang, words in SURE.items() for w in words) + ")"
 
 
+@query("lng_03_segments", """
+SELECT p_partkey, lower(replace(p_name, ' ', '') || p_type) AS text, true AS cut FROM part""")
+def segments(spark, sf_dir):
+    """Names and types of parts without spaces, cut into words that a model learned from them; put together they are the text again."""
+    text = F.lower(F.concat(F.replace("p_name", F.lit(" "), F.lit("")), "p_type"))
+    parts = settle(table(spark, sf_dir, "part").select("p_partkey", text.alias("text")), "unspaced")
+    model = G.learn_segments(parts, letters="a-z", longest=7)
+    rows = settle(parts.select("p_partkey", G.segmented(F.col("text"), model).alias("words")), "words")
+    return rows.select("p_partkey", F.array_join("words", "").alias("text"), F.size("words").between(2, 5).alias("cut"))
+
+
 @query("lng_04_default_stop_words", f"""
 WITH t AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}_]+')) AS word FROM documents),
 {LISTED},
