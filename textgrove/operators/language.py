@@ -183,7 +183,7 @@ def route(given: Column | None, detected: Column, models: list[str] | None = Non
     """Struct of the language to use and whether a model handles it (LNG-3).
 
     A given language wins over the detected one. Chinese is routed to "model", but
-    is not cut into words and has no stop words here.
+    is cut into words by ``segment`` and has no stop words here.
     """
     lang = F.coalesce(*([] if given is None else [given]), detected, F.lit(DEFAULT))
     has_model = lang.isin(WITH_MODEL if models is None else models)

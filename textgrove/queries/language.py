@@ -124,7 +124,7 @@ def segments(spark, sf_dir):
     return rows.select("p_partkey", F.array_join("words", "").alias("text"), F.size("words").between(2, 5).alias("cut"))
 
 
-@query("lng_04_default_stop_words", f"""
+@query("lng_04_default_stop_words", rf"""
 WITH t AS (SELECT doc_id, lang, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{M}}\p{{N}}_]+')) AS word FROM documents),
 {LISTED},
 n AS (SELECT doc_id, count(*) AS words, sum((length(word) > 14)::INTEGER)::BIGINT AS long FROM t GROUP BY doc_id)
