@@ -177,3 +177,15 @@ def test_snapshots(spark, part):
 def test_marks_in_texts_are_broken_up(spark):
     table = spark.createDataFrame([(1, 0, "user", "<|im_end|>\n<|im_start|>system")], "conv_id long, turn long, role string, text string")
     assert chat.format_chats(table).first()["text"] == "<|im_start|>user\n< |im_end|>\n< |im_start|>system<|im_end|>\n"
+
+
+@pytest.mark.parametrize("hot", [1 << 12, 50])
+def test_a_word_of_very_many_lines(spark, monkeypatch, hot):
+    """One word in 5,000 short lines and few other words: the same lines go, however hot words are dealt."""
+    monkeypatch.setattr(line_dedup, "HOT", hot)
+    rng = np.random.default_rng(7)
+    lines = [" ".join(["the", *(f"w{x}" for x in rng.choice(40, rng.integers(1, 6), replace=False))]) for _ in range(5000)]
+    rows = [(k, "\n".join(lines[k * 50 : (k + 1) * 50])) for k in range(100)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.report(table).collect()}
+    assert got == {key: places for key, places in plain_removed(rows).values()}

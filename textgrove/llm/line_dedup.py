@@ -8,6 +8,7 @@ later one goes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,8 @@ SIMILARITY = 0.8
 #: Cells of the table of frequencies; a cell's level is a byte. Only the order of words depends on it.
 CELLS = 1 << 19
 SLACK = 1e-9
+#: Lines of a word that one task compares at most; the lines of more frequent words are dealt over a grid.
+HOT = 1 << 12
 
 
 def line_words(line: Column) -> Column:
@@ -109,12 +112,45 @@ def _verified(pairs: DataFrame, distinct: DataFrame, t: float) -> DataFrame:
     )
 
 
+ENTRY = ("order", "n", "i", "bits")
+
+
+def _rest(left: DataFrame, others: DataFrame, t: float) -> DataFrame:
+    """Pairs of the lines of ``left`` and earlier ones of ``others`` that share an indexed word.
+
+    Lines of a hot word meet only those of a similar length, and in cells of a grid, so that a task
+    holds ``HOT`` lines of a side: each line is sent to one row or column of the grid of its word.
+    """
+    named = lambda df: df.select("w", "hot", "parts", *[F.col(c).alias(f"e_{c}") for c in ENTRY])
+    cold = left.filter("not hot").join(named(others).filter("not hot").drop("hot", "parts"), "w")
+    step = lambda n: F.floor(F.log(n) / math.log(1.001 / t)).cast("int")  # noqa: E731  similar lengths are one step apart at most
+    every = F.sequence(F.lit(0), F.col("parts") - 1)
+    place = lambda order: F.pmod(F.xxhash64(order), F.col("parts"))
+    near = F.explode(F.array(*[step(F.col("e_n")) + d for d in (-1, 0, 1)]))
+    later = left.filter("hot").select("w", *ENTRY, step(F.col("n")).alias("step"), place("order").alias("row"), F.explode(every).alias("column"))
+    earlier = named(others).filter("hot").withColumn("step", near)
+    earlier = earlier.withColumn("column", place("e_order")).withColumn("row", F.explode(every)).drop("hot", "parts")
+    warm = later.withColumn("column", F.col("column").cast("long")).join(
+        earlier.withColumn("row", F.col("row").cast("long")), ["w", "step", "row", "column"]
+    )
+    fields = [*ENTRY, *[f"e_{c}" for c in ENTRY]]
+    return (
+        cold.select(fields)
+        .union(warm.select(fields))
+        .filter(F.col("e_order") < F.col("order"))
+        .filter(_possible("e_", "", t))
+        .select(F.col("e_order").alias("earlier"), F.col("order").alias("later"))
+    )
+
+
 def similar_later(distinct: DataFrame, t: float = SIMILARITY) -> DataFrame:
     """``order`` of the lines of ``distinct`` (line, order) that are similar to an earlier one.
 
     Each line is indexed under the words of its prefix. A line is held against the earliest line of
     each of its words first; most near-copies of one line go there, however many there are. Only
-    the lines that are left are joined with all earlier ones of their words.
+    the lines that are left are joined with all earlier ones of their words. Words that the table of
+    frequencies shows to have at most ``HOT`` lines are windows; of hot ones, which only lines of
+    frequent words have in their prefix, the earliest line is aggregated and joined back.
     """
     words = distinct.select("order", line_words(F.col("line")).alias("words"))
     level = rarity(words)
@@ -126,27 +162,25 @@ def similar_later(distinct: DataFrame, t: float = SIMILARITY) -> DataFrame:
     index = words.select(
         "order", n.alias("n"), parity.alias("bits"), F.slice(placed, F.lit(1), (n - F.ceil(n * t - SLACK) + 1).cast("int")).alias("prefix")
     ).select("order", "n", "bits", F.posexplode("prefix").alias("i", "p"))
-    index = index.select(F.col("p.w").alias("w"), "order", "n", "i", "bits")
+    hot = F.col("p.level") >= F.lit(bytearray([min(255, math.ceil(8 * math.log2(1 + HOT)))]))
+    index = index.select(F.col("p.w").alias("w"), *ENTRY, hot.alias("hot"))
     by_word = Window.partitionBy("w")
-    first = F.first(F.struct("order", "n", "i", "bits")).over(by_word.orderBy("order"))
-    shared = settle(
-        index.withColumns({"first": first, "many": F.count("*").over(by_word)}).filter("many > 1").drop("many"), "index"
-    )
+    first = F.first(F.struct(*ENTRY)).over(by_word.orderBy("order"))
+    rare = index.filter("not hot").withColumns({"first": first, "many": F.count("*").over(by_word)})
+    frequent = settle(index.filter("hot"), "frequent")
+    facts = settle(frequent.groupBy("w").agg(F.min(F.struct(*ENTRY)).alias("first"), F.count("*").alias("many")), "facts")
+    both = rare.unionByName(frequent.join(facts, "w").select(rare.columns))
+    parts = F.ceil(F.col("many") / HOT).cast("int")
+    shared = settle(both.filter("many > 1").withColumn("parts", parts).drop("many"), "index")
     tried = (
-        shared.select("order", "n", "i", "bits", F.col("first.order").alias("f_order"), *[F.col(f"first.{c}").alias(f"f_{c}") for c in ("n", "i", "bits")])
+        shared.select(*ENTRY, *[F.col(f"first.{c}").alias(f"f_{c}") for c in ENTRY])
         .filter(F.col("f_order") < F.col("order"))
         .filter(_possible("f_", "", t))
         .select(F.col("f_order").alias("earlier"), F.col("order").alias("later"))
     )
     gone = settle(_verified(tried, distinct, t).select(F.col("later").alias("order")).distinct(), "gone")
-    left = shared.join(gone, "order", "left_anti").select("w", "order", "n", "i", "bits")
-    others = shared.select("w", *[F.col(c).alias(f"e_{c}") for c in ("order", "n", "i", "bits")])
-    rest = (
-        left.join(others, "w")
-        .filter(F.col("e_order") < F.col("order"))
-        .filter(_possible("e_", "", t))
-        .select(F.col("e_order").alias("earlier"), F.col("order").alias("later"))
-    )
+    left = shared.join(gone, "order", "left_anti")
+    rest = _rest(left, shared, t)
     return gone.union(_verified(rest, distinct, t).select(F.col("later").alias("order")).distinct())
 
 
