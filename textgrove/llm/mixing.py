@@ -235,7 +235,8 @@ def mix(
     by_key = mixed.groupBy("key").agg(F.sum("copies").alias("copies"), F.sum("times").alias("times"))
     copies = settle(by_key.filter("copies > 0"), "copies")
     whole, several = packed(docs, key=key), copies.filter("times > 1")
-    chosen = whole.join(copies.filter("times = 1"), "key")
+    # as many rows as documents: joined by merging at every size
+    chosen = whole.join(copies.filter("times = 1").hint("merge"), "key")
     if not several.isEmpty():
         chosen = chosen.union(whole.join(several, "key").dropDuplicates(["key"]))
     return unpacked(chosen.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("copies")))))
