@@ -101,7 +101,8 @@ def links(distinct: DataFrame, bits: int = 2) -> DataFrame:
         "buckets",
     )
     twos = buckets.filter("n = 2").filter(near).select("a", "b")
-    members = settle(keyed.join(buckets.filter("n > 2").select("key", "n"), "key"), "members")
+    # buckets grow with the fingerprints: joined by merging at every size, like the table they come from
+    members = settle(keyed.join(buckets.filter("n > 2").select("key", "n").hint("merge"), "key"), "members")
     small = members.filter(F.col("n") <= PAIRED)
     pairs = (
         small.select("key", F.col("fp").alias("a"))
@@ -181,7 +182,8 @@ def one_of_each(
     several = marks.groupBy(F.col("id").alias("_id"), F.col("row").alias("_row")).agg(F.count("*").alias("n")).filter("n > 1")
     repeated = settle(match(several.drop("n"), gone, ["_id", "_row"], "left_anti"), "repeated")
     whole = packed(docs, _row=row_hash(docs), _id=column(id_col))
-    kept = match(whole, gone.union(repeated), ["_id", "_row"], "left_anti")
+    # rows that go are a share of the documents: joined by merging at every size
+    kept = match(whole, gone.union(repeated).hint("merge"), ["_id", "_row"], "left_anti")
     if not repeated.isEmpty():
         kept = kept.union(match(whole, repeated, ["_id", "_row"], "left_semi").dropDuplicates(["_id", "_row"]))
     return unpacked(kept)
