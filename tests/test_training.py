@@ -3,6 +3,8 @@
 import math
 import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -115,6 +117,42 @@ def test_outside_model(spark, tmp_path):
         external.predict_external(table, str(tmp_path / "absent"), load, ["up", "down"], ["x"])
 
 
+ON_A_CLUSTER = """
+import sys
+import numpy as np
+from pyspark.sql import SparkSession
+from textgrove.operators import external
+
+spark = (
+    SparkSession.builder.master("local-cluster[1,1,1024]").config("spark.ui.enabled", "false")
+    .config("spark.driver.host", "127.0.0.1").config("spark.executorEnv.PYTHONPATH", sys.argv[1]).getOrCreate()
+)
+
+def load(path):
+    with open(f"{path}/inner/factor") as f:
+        factor = float(f.read())
+    return lambda batch: np.outer(batch.column("x").to_numpy(), [factor, -factor])
+
+found = external.predict_external(spark.range(4).selectExpr("id - 1.5D AS x"), sys.argv[2], load, ["up", "down"], ["x"], logits=True)
+print("found", [r["prediction"]["predicted_class"] for r in found.orderBy("x").collect()])
+spark.stop()
+"""
+
+
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_outside_model_in_a_folder_on_a_cluster(tmp_path, scheme):
+    """A bundle that is a folder of a mounted file system reaches executors that are not the driver."""
+    inner = tmp_path / "my bundle" / "inner"
+    inner.mkdir(parents=True)
+    (inner / "factor").write_text("2")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    run = subprocess.run(
+        [sys.executable, "-c", ON_A_CLUSTER, root, f"{scheme}{tmp_path}/my bundle"],
+        env=os.environ | {"PYTHONPATH": root, "SPARK_LOCAL_IP": "127.0.0.1"}, capture_output=True, text=True, timeout=300, check=False,
+    )
+    assert "found ['down', 'down', 'up', 'up']" in run.stdout, run.stderr[-2000:]
+
+
 def test_halving_goes_on_where_it_ended(spark, tmp_path):
     table = numbers(spark).select("id", "label")
     asked = []

@@ -1,15 +1,19 @@
 """Batch scoring with models of any kind, by a function of Arrow batches.
 
 A model is a bundle, a file or folder that any library reads, and a loader. The bundle goes to each
-executor once, as a file of the application; each Python worker loads it once and keeps it. Rows
+executor once, as a file or archive of the application; each Python worker loads it once and keeps it. Rows
 reach the model in batches of one size, whatever the size of Spark's own.
 """
 
 from __future__ import annotations
 
 import os
+import shutil
+import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +38,21 @@ RECORD = (
 def ship(spark: SparkSession, path: str) -> str:
     """Make a bundle known to all executors; returns the name by which they find it.
 
-    ``path`` may be of any file system that Spark reads; a folder is sent with all that is in it. The
-    name is that of the file or folder: an application ships a name once.
+    ``path`` may be of any file system that Spark reads; a folder is sent with all that is in it. Spark
+    adds no folders of a mounted file system on a cluster, so these go as an archive, which each executor
+    unpacks. The name is that of the file or folder: an application ships a name once.
     """
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not store.exists(folder):
         raise FileNotFoundError(f"there is no model at {path}")
-    spark.sparkContext.addFile(path, recursive=store.getFileStatus(folder).isDirectory())
-    return os.path.basename(path.rstrip("/"))
+    name, directory = os.path.basename(path.rstrip("/")), store.getFileStatus(folder).isDirectory()
+    if directory and store.getUri().getScheme() == "file":
+        packed = shutil.make_archive(f"{tempfile.mkdtemp()}/bundle", "zip", store.makeQualified(folder).toUri().getPath())
+        spark.sparkContext.addArchive(f"{Path(packed).as_uri()}#{quote(name)}")
+    else:
+        spark.sparkContext.addFile(path, recursive=directory)
+    return name
 
 
 def loaded(name: str, load: Callable[[str], Model], key: str) -> Model:
