@@ -1,7 +1,9 @@
 """Languages, vocabularies and token ids on small fixtures."""
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,3 +176,48 @@ def test_batches_by_length(spark):
     again = {r["id"]: r["batch_id"] for r in K.length_batches(table.repartition(7), batch_size=16).collect()}
     assert again == {r["id"]: r["batch_id"] for r in K.length_batches(table, batch_size=16).collect()}
     assert K.length_batches(table.limit(0), batch_size=16).count() == 0
+
+
+def test_words_stay_in_arrow(spark, monkeypatch):
+    """Chunks that end inside a row change nothing; of a batch only distinct words are Python strings."""
+    table = K.vocabulary_ids(vocabulary(spark, ["a", "##a", "b", "##b", "ab"]))
+    rng = random.Random(3)
+    rows = [["".join(rng.choices("abc", [5, 5, 1], k=rng.randint(1, 6))) for _ in range(rng.randint(0, 9))] for _ in range(200)]
+    look_up = K._look_up(spark, table, None).func
+    monkeypatch.setattr(K, "CHUNK", 7)
+    batches = [pa.array(rows)[:90], pa.array([], pa.list_(pa.string())), pa.array(rows)[90:]]
+    got = [r for out in look_up(iter(batches)) for r in out.to_pylist()]
+    assert got == [[i for w in row for i in brute_force(w, table)] for row in rows]
+    monkeypatch.undo()
+    many = pa.array([rows[i % 200] for i in range(1 << 18)])
+    words = len(many.flatten())
+    tracemalloc.start()
+    found = sum(len(out) for out in look_up(iter([many])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == len(many) and peak < 60 * words
+
+
+def test_a_vocabulary_is_built_once(spark):
+    built = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            built.add(batch.num_rows)
+            yield batch
+
+    table = vocabulary(spark, ["a"]).mapInArrow(count, "token string, id int")
+    assert len(K.vocabulary_ids(table)) == built.value == 6
+
+
+def test_lemmas_of_nulls_and_in_chunks(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [(1, "en", ["dogs", None, "cats", "dogs"]), (2, "de", ["dogs", "cats"]), (3, None, ["dogs"]), (4, "en", None), (5, None, None), (6, "en", [])],
+        "id long, lang string, tokens array<string>",
+    ).coalesce(1)
+    lemmas = spark.createDataFrame([("en", "dogs", "dog"), ("de", "cats", "cat"), (None, "dogs", "none")], "lang string, word string, lemma string")
+    expected = {1: ["dog", None, "cats", "dog"], 2: ["dogs", "cat"], 3: ["none"], 4: [], 5: [], 6: []}
+    monkeypatch.setattr(L, "CHUNK", 2)
+    assert {r["id"]: r["tokens"] for r in L.lemmatize(rows, lemmas, "id").collect()} == expected
+    monkeypatch.undo()
+    assert {r["id"]: r["tokens"] for r in L.lemmatize(rows, lemmas, "id").collect()} == expected

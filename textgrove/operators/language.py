@@ -15,6 +15,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,7 @@ STOP_WORD_LISTS = {
 
 MAX_BYTES = 128 << 20  # of a profile in the memory of an executor
 MEMO = 200_000  # words whose scores a task remembers
+CHUNK = 1 << 18  # words of a batch whose lemmas are looked up at a time
 LETTERS = r"[\p{L}\p{M}]+"
 TOKENS = r"[\p{L}\p{M}\p{N}_]+"
 
@@ -262,14 +264,26 @@ def lemmatize(
         entries.setdefault(r["_lang"], {})[r["word"]] = r["lemma"]
     shared = df.sparkSession.sparkContext.broadcast(entries)
 
-    @F.pandas_udf("array<string>")
-    def looked_up(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<string>")
+    def looked_up(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for rows, langs in batches:
-            out = []
-            for words, code in zip(rows, langs, strict=True):
-                known = shared.value.get(code, {})
-                out.append([] if words is None else [known.get(w, w) for w in words])
-            yield pd.Series(out, dtype="object")
+            rows_of, sizes = langs.dictionary_encode(null_encoding="encode"), rows.value_lengths().fill_null(0).to_numpy()
+            codes = rows_of.dictionary.to_pylist()
+            code_of = np.repeat(rows_of.indices.to_numpy(), sizes)  # of each word
+            words, parts = rows.flatten(), []
+            for at in range(0, len(words), CHUNK):
+                coded = words.slice(at, CHUNK).dictionary_encode(null_encoding="encode")
+                distinct, index, spots = coded.dictionary.to_pylist(), coded.indices.to_numpy(), code_of[at : at + CHUNK]
+                forms, form_of = list(distinct), np.tile(np.arange(len(distinct)), (len(codes), 1))
+                for k, code in enumerate(codes):
+                    known = shared.value.get(code, {})
+                    for i in np.unique(index[spots == k]) if known else ():
+                        if distinct[i] in known:
+                            form_of[k, i] = len(forms)
+                            forms.append(known[distinct[i]])
+                parts.append(pa.array(forms, words.type).take(pa.array(form_of[spots, index])))
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(parts) if parts else words)
 
     return df.withColumn(tokens, looked_up(tokens, lang))
 
