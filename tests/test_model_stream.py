@@ -105,3 +105,15 @@ def test_stream_counts_each_file_once(spark, model, tmp_path):
     assert got.count() == 120 and got.select("id").distinct().count() == 120
     batch = L.predict(model, scoring.clean_stream(texts(spark)))
     assert got.select("id", "y_pred").exceptAll(batch.select("id", "y_pred")).count() == 0
+
+
+def test_trials_of_one_size_share_their_features(spark, monkeypatch):
+    """Words are weighted once for each size of the features; a size that fails is told by its trials alone."""
+    asked, terms = [], L.weighted_terms
+    monkeypatch.setattr(L, "weighted_terms", lambda features: asked.append(features) or terms(features))
+    space = {"regParam": (1e-4, 1e-1), "numFeatures": [1 << 8, 1 << 9, -1], "maxIter": (1, 3)}
+    drawn = [p["numFeatures"] for p in L.draw_params(8, space=space)]
+    found = L.tune(texts(spark), texts(spark), trials=8, space=space, parallelism=2).orderBy("trial_number").collect()
+    assert sorted(asked) == sorted(set(drawn)) and -1 in drawn and len(asked) < len(drawn)
+    assert [r["error"] is not None for r in found] == [n < 0 for n in drawn]
+    assert all(r["value"] == 0 if r["error"] else r["value"] > 0 for r in found)
