@@ -189,3 +189,44 @@ def test_a_word_of_very_many_lines(spark, monkeypatch, hot):
     table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = {r["doc_id"]: r["removed"] for r in line_dedup.report(table).collect()}
     assert got == {key: places for key, places in plain_removed(rows).values()}
+
+
+@pytest.mark.parametrize("crowd", [1 << 10, 3])
+def test_lines_in_other_spaces_and_letters(spark, monkeypatch, crowd):
+    """Any white space of the contract cuts, only A-Z are lower-cased, and near-copies go, however crowded a word is."""
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    rng = np.random.default_rng(3)
+    names = [f"{a}{x}" for x in range(30) for a in ("W", "w", "\u00c4", "\u00e4", "\u4e2d")]
+    lines = []
+    for _ in range(300):
+        words = list(rng.choice(names, rng.integers(5, 25)))
+        for _ in range(rng.integers(1, 4)):
+            space = rng.choice([" ", "  ", "\t", "\x0b", "\x0c", "\r"], len(words))
+            lines.append("".join(x for pair in zip(space, words) for x in pair))
+            words[rng.integers(len(words))] = rng.choice(names)
+    rows = [(k, "\n".join(lines[k * 10 : (k + 1) * 10])) for k in range(len(lines) // 10 + 1)]
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {key: places for key, places in plain_removed(rows).values()}
+    assert 0 < sum(map(len, got.values())) < len(lines)
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_lines_leave_no_shuffle_files(spark):
+    """What the steps shuffle goes when they are written: else all of it is on the disks at once."""
+    lines = spark.range(2000).selectExpr("concat('a', id % 300, ' b', id % 70, ' c ', id) as line", "id as `order`")
+    before, setting = shuffle_files(spark), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    found = line_dedup.similar_later(lines)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+    assert found.count() == 0
+
+
+def test_words_of_a_line_are_cut_once(spark):
+    """A filter on what is exploded would be pushed below it, and cut, hash and sort the words of each line again."""
+    lines = spark.createDataFrame([("a b c d", 1), ("a b c e", 2)], "line string, `order` long")
+    plan = line_dedup._index(lines, 0.8)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(array_remove(") == 1

@@ -15,21 +15,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from textgrove.llm.words import ascii_lower, column
-from textgrove.operators.scale import running_totals, settle
+from textgrove.llm.words import SPACE, ascii_lower, column
+from textgrove.operators.scale import running_totals, settle_last as settle
 
 SIMILARITY = 0.8
 #: Cells of the table of frequencies; a cell's level is a byte. Only the order of words depends on it.
 CELLS = 1 << 19
+#: Levels for each doubling of a frequency, and the bits of a word's hash below its level.
+STEPS = 5
+HASH_BITS = 55
 SLACK = 1e-9
 #: Lines of a word that one task compares at most; the lines of more frequent words are dealt over a grid.
 HOT = 1 << 12
+#: Rows of a word from which lines that are known to go are always taken out before they are joined.
+CROWD = 1 << 10
+
+
+def _split(line: Column) -> Column:
+    """The lower-cased words of a line, repeats included, and empty strings between spaces.
+
+    Cut at a single character, which builds no pattern for each line; other white space is made a
+    space first, where there is any.
+    """
+    flat = F.when(line.rlike(r"[\x09-\x0D]"), F.translate(line, SPACE, " " * len(SPACE))).otherwise(line)
+    ascii_only = F.octet_length(line) == F.char_length(line)
+    return F.split(F.when(ascii_only, F.lower(flat)).otherwise(ascii_lower(flat)), " ")
 
 
 def line_words(line: Column) -> Column:
     """The set of lower-cased words of a line, as 64-bit hashes."""
-    words = F.array_remove(F.split(ascii_lower(line), r"[\x20\x09-\x0D]+"), "")
-    return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(F.array_remove(_split(line), ""), lambda w: F.xxhash64(w)))
 
 
 def _numbered(docs: DataFrame, id_col: str, text_col: str, **more: Column) -> tuple[DataFrame, int]:
@@ -58,27 +73,35 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str, **more: Column) -> tu
 
 def _lines(numbered: DataFrame, bits: int) -> DataFrame:
     """``(num, pos, line, order)`` of every line that has a word."""
-    each = numbered.select("num", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    each = numbered.select("num", F.posexplode_outer(F.split("text", "\n")).alias("pos", "line"))
     return each.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn(
         "order", F.call_function("shiftleft", "num", F.lit(bits)) + F.col("pos")
     )
 
 
-def rarity(sets: DataFrame) -> Callable[[Column], Column]:
-    """A function of a word's hash: its frequency level, one byte, from a table of ``CELLS`` bytes.
+def _level(n: Column) -> Column:
+    """Frequency level of a count, 0 to 127: ``STEPS`` for each doubling."""
+    return F.least(F.lit(127), F.floor(STEPS * F.log2(1 + n))).cast("int")
+
 
-    Frequencies are counted by cell of a hash, over all words of all ``sets``; the table is of fixed
-    size, whatever the corpus. Words that share a cell look as frequent as all of them together,
-    which moves words in the order, the same in all lines, and loses no pair.
+def rarity(lines: DataFrame) -> Callable[[Column], Column]:
+    """A function of a word's hash: its place in the order of words, level before hash, as one number.
+
+    Words are counted by cell of their hash, over all words of all ``lines``; the table has a byte for
+    each cell, whatever the corpus. Words that share a cell look as frequent as all of them together,
+    which moves words in the order, the same in all lines, and loses no pair. A place holds 55 bits of
+    the hash; words of one place are taken for one here, which adds pairs to verify and loses none.
     """
-    spark = sets.sparkSession
-    counts = sets.select(F.explode("words").alias("w")).groupBy(F.pmod("w", F.lit(CELLS)).alias("cell")).agg(F.count("*").alias("n"))
-    level = F.least(F.lit(255), F.floor(8 * F.log2(1 + F.coalesce("n", F.lit(0))))).cast("long")
-    every = spark.range(CELLS).select(F.col("id").alias("cell")).join(counts, "cell", "left").select("cell", level.alias("level"))
+    spark = lines.sparkSession
+    cell = lambda w: w.bitwiseAND(F.lit(CELLS - 1))
+    counts = lines.select(F.explode_outer(_split(F.col("line"))).alias("w")).groupBy(cell(F.xxhash64("w")).alias("cell")).agg(F.count("*").alias("n"))
+    every = spark.range(CELLS).select(F.col("id").alias("cell")).join(counts, "cell", "left")
+    every = every.select("cell", _level(F.coalesce("n", F.lit(0))).alias("level"))
     by_cell = F.sort_array(F.collect_list(F.struct("cell", "level")))
     text = F.array_join(F.transform(by_cell, lambda c: F.lpad(F.hex(c["level"]), 2, "0")), "")
     table = F.lit(bytearray(every.agg(F.unhex(text).alias("t")).first()["t"]))
-    return lambda w: F.substring(table, F.pmod(w, F.lit(CELLS)).cast("int") + 1, F.lit(1))
+    level = lambda w: F.ascii(F.substring(table, cell(w).cast("int") + 1, F.lit(1)).cast("string"))
+    return lambda w: F.shiftleft(level(w).cast("long"), HASH_BITS).bitwiseOR(F.shiftrightunsigned(w, 64 - HASH_BITS))
 
 
 def _needed(a: Column, b: Column, t: float) -> Column:
@@ -115,21 +138,50 @@ def _verified(pairs: DataFrame, distinct: DataFrame, t: float) -> DataFrame:
 ENTRY = ("order", "n", "i", "bits")
 
 
-def _rest(left: DataFrame, others: DataFrame, t: float) -> DataFrame:
+def _index(distinct: DataFrame, t: float) -> DataFrame:
+    """``(w, order, n, i, bits, hot, f_order, crowded)``: the words of the prefixes of the lines of ``distinct``.
+
+    A row whose word has no other line of a similar length is left out. ``f_order`` is the earliest
+    line of the word if the two may be similar. Hot words, which the table of frequencies shows to
+    have ``HOT`` lines or more, are dealt over several windows by line, and all of their rows stay.
+    """
+    words = distinct.select("order", line_words(F.col("line")).alias("words"))
+    place = rarity(distinct)
+    parity = F.aggregate("words", F.lit(0).cast("long"), lambda b, w: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
+    n = F.size("words")
+    prefix = F.slice(F.sort_array(F.transform("words", place)), F.lit(1), (n - F.ceil(n * t - SLACK) + 1).cast("int"))
+    rows = words.select("order", n.alias("n"), parity.alias("bits"), prefix.alias("prefix"))
+    rows = rows.select("order", "n", "bits", F.posexplode_outer("prefix").alias("i", "w"))
+    level = F.shiftright("w", HASH_BITS)
+    hot = level >= F.lit(math.floor(STEPS * math.log2(1 + HOT)))
+    most = F.ceil(F.pow(F.lit(2.0), (level + 1) / STEPS) / HOT)
+    rows = rows.withColumns({"hot": hot, "part": F.when(hot, F.pmod(F.xxhash64("order"), most)).otherwise(F.lit(0).cast("long"))})
+    one = Window.partitionBy("w", "part")
+    rows = rows.withColumns({f"f_{c}": F.first(c).over(one.orderBy("order")) for c in ENTRY})
+    by_length = one.orderBy("n")
+    crowded = F.count("*").over(one) > CROWD
+    rows = rows.withColumns({"crowded": crowded, "shorter": F.lag("n").over(by_length), "longer": F.lead("n").over(by_length)})
+    partner = (F.col("shorter") >= F.col("n") * t - SLACK) | (F.col("n") >= F.col("longer") * t - SLACK)
+    tried = F.when((F.col("f_order") < F.col("order")) & _possible("f_", "", t), F.col("f_order"))
+    return rows.filter(F.col("hot") | F.coalesce(partner, F.lit(False))).select("w", *ENTRY, "hot", tried.alias("f_order"), "crowded")
+
+
+def _rest(left: DataFrame, others: DataFrame, facts: DataFrame, t: float) -> DataFrame:
     """Pairs of the lines of ``left`` and earlier ones of ``others`` that share an indexed word.
 
     Lines of a hot word meet only those of a similar length, and in cells of a grid, so that a task
     holds ``HOT`` lines of a side: each line is sent to one row or column of the grid of its word.
     """
-    named = lambda df: df.select("w", "hot", "parts", *[F.col(c).alias(f"e_{c}") for c in ENTRY])
-    cold = left.filter("not hot").join(named(others).filter("not hot").drop("hot", "parts"), "w")
+    named = lambda df, *more: df.select("w", *more, *[F.col(c).alias(f"e_{c}") for c in ENTRY])
+    cold = left.filter("not hot").join(named(others.filter("not hot")), "w")
+    many = lambda df: df.filter("hot").join(facts, "w")
     step = lambda n: F.floor(F.log(n) / math.log(1.001 / t)).cast("int")  # noqa: E731  similar lengths are one step apart at most
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     place = lambda order: F.pmod(F.xxhash64(order), F.col("parts"))
     near = F.explode(F.array(*[step(F.col("e_n")) + d for d in (-1, 0, 1)]))
-    later = left.filter("hot").select("w", *ENTRY, step(F.col("n")).alias("step"), place("order").alias("row"), F.explode(every).alias("column"))
-    earlier = named(others).filter("hot").withColumn("step", near)
-    earlier = earlier.withColumn("column", place("e_order")).withColumn("row", F.explode(every)).drop("hot", "parts")
+    later = many(left).select("w", *ENTRY, step(F.col("n")).alias("step"), place("order").alias("row"), F.explode(every).alias("column"))
+    earlier = named(many(others), "parts").withColumn("step", near)
+    earlier = earlier.withColumn("column", place("e_order")).withColumn("row", F.explode(every)).drop("parts")
     warm = later.withColumn("column", F.col("column").cast("long")).join(
         earlier.withColumn("row", F.col("row").cast("long")), ["w", "step", "row", "column"]
     )
@@ -148,52 +200,34 @@ def similar_later(distinct: DataFrame, t: float = SIMILARITY) -> DataFrame:
 
     Each line is indexed under the words of its prefix. A line is held against the earliest line of
     each of its words first; most near-copies of one line go there, however many there are. Only
-    the lines that are left are joined with all earlier ones of their words. Words that the table of
-    frequencies shows to have at most ``HOT`` lines are windows; of hot ones, which only lines of
-    frequent words have in their prefix, the earliest line is aggregated and joined back.
+    the lines that are left are joined with all earlier ones of their words. The lines that went are
+    taken out of the rows that may belong to them, those of crowded words and those whose earliest
+    line may be similar; the other rows, nearly all, are not shuffled for it. What they add is taken
+    out of the pairs.
     """
-    words = distinct.select("order", line_words(F.col("line")).alias("words"))
-    level = rarity(words)
-    placed = F.sort_array(F.transform("words", lambda w: F.struct(level(w).alias("level"), w.alias("w"))))
-    parity = F.aggregate(
-        "words", F.lit(0).cast("long"), lambda b, w: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(w, 20), F.lit(64)).cast("int")))
-    )
-    n = F.size("words")
-    index = words.select(
-        "order", n.alias("n"), parity.alias("bits"), F.slice(placed, F.lit(1), (n - F.ceil(n * t - SLACK) + 1).cast("int")).alias("prefix")
-    ).select("order", "n", "bits", F.posexplode("prefix").alias("i", "p"))
-    hot = F.col("p.level") >= F.lit(bytearray([min(255, math.ceil(8 * math.log2(1 + HOT)))]))
-    index = index.select(F.col("p.w").alias("w"), *ENTRY, hot.alias("hot"))
-    by_word = Window.partitionBy("w")
-    first = F.first(F.struct(*ENTRY)).over(by_word.orderBy("order"))
-    rare = index.filter("not hot").withColumns({"first": first, "many": F.count("*").over(by_word)})
-    frequent = settle(index.filter("hot"), "frequent")
-    facts = settle(frequent.groupBy("w").agg(F.min(F.struct(*ENTRY)).alias("first"), F.count("*").alias("many")), "facts")
-    both = rare.unionByName(frequent.join(facts, "w").select(rare.columns))
-    parts = F.ceil(F.col("many") / HOT).cast("int")
-    shared = settle(both.filter("many > 1").withColumn("parts", parts).drop("many"), "index")
-    tried = (
-        shared.select(*ENTRY, *[F.col(f"first.{c}").alias(f"f_{c}") for c in ENTRY])
-        .filter(F.col("f_order") < F.col("order"))
-        .filter(_possible("f_", "", t))
-        .select(F.col("f_order").alias("earlier"), F.col("order").alias("later"))
-    )
+    index = settle(_index(distinct, t), "index")
+    tried = index.filter(F.col("f_order").isNotNull()).select(F.col("f_order").alias("earlier"), F.col("order").alias("later"))
     gone = settle(_verified(tried, distinct, t).select(F.col("later").alias("order")).distinct(), "gone")
-    left = shared.join(gone, "order", "left_anti")
-    rest = _rest(left, shared, t)
+    parts = F.ceil(F.col("many") / HOT).cast("int")
+    facts = settle(index.filter("hot").groupBy("w").agg(F.count("*").alias("many")).select("w", parts.alias("parts")), "facts")
+    known = F.col("hot") | F.col("crowded") | F.col("f_order").isNotNull()
+    entries = index.select("w", *ENTRY, "hot")
+    left = index.filter(known).join(gone, "order", "left_anti").select(entries.columns)
+    rest = _rest(left.union(index.filter(~known).select(entries.columns)), entries, facts, t)
+    rest = rest.join(gone.toDF("later"), "later", "left_anti")
     return gone.union(_verified(rest, distinct, t).select(F.col("later").alias("order")).distinct())
 
 
 def _removed(numbered: DataFrame, bits: int, t: float) -> DataFrame:
     """``(num, removed)``: the places of the lines that go, for rows that lose some."""
     lines = _lines(numbered, bits)
-    distinct = settle(lines.groupBy("line").agg(F.min("order").alias("order"), F.count("*").alias("n")), "distinct")
-    gone = settle(similar_later(distinct.select("line", "order"), t), "gone")
     key = [F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2")]
+    distinct = settle(lines.groupBy("line").agg(F.min("order").alias("order"), F.count("*").alias("n")).select("*", *key), "distinct")
+    gone = settle(similar_later(distinct.select("line", "order"), t), "gone")
     affected = settle(
         distinct.join(gone.withColumn("similar", F.lit(True)), "order", "left")
         .filter("n > 1 or similar")
-        .select(*key, F.col("order").alias("first"), F.coalesce("similar", F.lit(False)).alias("similar")),
+        .select("k1", "k2", F.col("order").alias("first"), F.coalesce("similar", F.lit(False)).alias("similar")),
         "affected",
     )
     places = lines.select("num", "pos", "order", *key).join(affected, ["k1", "k2"]).filter(F.col("similar") | (F.col("order") > F.col("first")))
