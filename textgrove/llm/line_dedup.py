@@ -27,7 +27,7 @@ HASH_BITS = 55
 SLACK = 1e-9
 #: Lines of a word that one task compares at most; the lines of more frequent words are dealt over a grid.
 HOT = 1 << 12
-#: Rows of a word from which lines that are known to go are always taken out before they are joined.
+#: Lines that are known to go are taken out of a word of more rows than this and one before they are joined.
 CROWD = 1 << 10
 
 
@@ -139,10 +139,11 @@ ENTRY = ("order", "n", "i", "bits")
 
 
 def _index(distinct: DataFrame, t: float) -> DataFrame:
-    """``(w, order, n, i, bits, hot, f_order, crowded)``: the words of the prefixes of the lines of ``distinct``.
+    """``(w, order, n, i, bits, hot, f_order, known)``: the words of the prefixes of the lines of ``distinct``.
 
     A row whose word has no other line of a similar length is left out. ``f_order`` is the earliest
-    line of the word if the two may be similar. Hot words, which the table of frequencies shows to
+    line of the word if the two may be similar. ``known`` marks such a row and those of crowded
+    words. Hot words, which the table of frequencies shows to
     have ``HOT`` lines or more, are dealt over several windows by line, and all of their rows stay.
     """
     words = distinct.select("order", line_words(F.col("line")).alias("words"))
@@ -159,37 +160,56 @@ def _index(distinct: DataFrame, t: float) -> DataFrame:
     one = Window.partitionBy("w", "part")
     rows = rows.withColumns({f"f_{c}": F.first(c).over(one.orderBy("order")) for c in ENTRY})
     by_length = one.orderBy("n")
-    crowded = F.count("*").over(one) > CROWD
-    rows = rows.withColumns({"crowded": crowded, "shorter": F.lag("n").over(by_length), "longer": F.lead("n").over(by_length)})
+    far = [f("n", CROWD // 2 + 1).over(by_length).isNotNull() for f in (F.lag, F.lead)]  # one holds for each row of a larger word
+    rows = rows.withColumns({"crowded": far[0] | far[1], "shorter": F.lag("n").over(by_length), "longer": F.lead("n").over(by_length)})
     partner = (F.col("shorter") >= F.col("n") * t - SLACK) | (F.col("n") >= F.col("longer") * t - SLACK)
     tried = F.when((F.col("f_order") < F.col("order")) & _possible("f_", "", t), F.col("f_order"))
-    return rows.filter(F.col("hot") | F.coalesce(partner, F.lit(False))).select("w", *ENTRY, "hot", tried.alias("f_order"), "crowded")
+    return rows.filter(F.col("hot") | F.coalesce(partner, F.lit(False))).select(
+        "w", *ENTRY, "hot", tried.alias("f_order"), (F.col("crowded") | tried.isNotNull()).alias("known")
+    )
+
+
+def _cold(index: DataFrame, gone: DataFrame, t: float) -> DataFrame:
+    """Pairs of the lines that are left and earlier ones that share a word that is not hot.
+
+    All sides name the same columns and no side is filtered before it is shuffled, so that the index
+    is shuffled once: ``known`` rows, which may belong to ``gone``, meet no line by their limit and
+    are joined apart. (A limit is never above the line's own place; that both are compared drops no pair.)
+    """
+    limit = F.when(F.col("known"), F.lit(-1).cast("long")).otherwise(F.col("order"))
+    cold = index.filter("not hot").select("w", *ENTRY, limit.alias("limit"))
+    kept = cold.filter(F.col("limit") < F.col("order")).join(gone, "order", "left_anti")
+
+    def met(later: DataFrame) -> DataFrame:
+        before = (F.col("e.order") < F.col("l.limit")) & (F.col("e.limit") < F.col("l.order"))
+        pairs = later.alias("l").join(cold.alias("e"), (F.col("l.w") == F.col("e.w")) & before & _possible("e.", "l.", t))
+        return pairs.select(F.col("e.order").alias("earlier"), F.col("l.order").alias("later"))
+
+    return met(cold).union(met(kept.select("w", *ENTRY, F.col("order").alias("limit"))))
 
 
-def _rest(left: DataFrame, others: DataFrame, facts: DataFrame, t: float) -> DataFrame:
-    """Pairs of the lines of ``left`` and earlier ones of ``others`` that share an indexed word.
+def _warm(index: DataFrame, gone: DataFrame, t: float) -> DataFrame:
+    """Pairs of the lines that are left and earlier ones that share a hot word.
 
     Lines of a hot word meet only those of a similar length, and in cells of a grid, so that a task
     holds ``HOT`` lines of a side: each line is sent to one row or column of the grid of its word.
     """
-    named = lambda df, *more: df.select("w", *more, *[F.col(c).alias(f"e_{c}") for c in ENTRY])
-    cold = left.filter("not hot").join(named(others.filter("not hot")), "w")
-    many = lambda df: df.filter("hot").join(facts, "w")
+    hot = index.filter("hot").select("w", *ENTRY)
+    parts = F.ceil(F.count("*") / HOT).cast("int")
+    hot = hot.join(settle(hot.groupBy("w").agg(parts.alias("parts")), "facts"), "w")
     step = lambda n: F.floor(F.log(n) / math.log(1.001 / t)).cast("int")  # noqa: E731  similar lengths are one step apart at most
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     place = lambda order: F.pmod(F.xxhash64(order), F.col("parts"))
     near = F.explode(F.array(*[step(F.col("e_n")) + d for d in (-1, 0, 1)]))
-    later = many(left).select("w", *ENTRY, step(F.col("n")).alias("step"), place("order").alias("row"), F.explode(every).alias("column"))
-    earlier = named(many(others), "parts").withColumn("step", near)
+    later = hot.join(gone, "order", "left_anti")
+    later = later.select("w", *ENTRY, step(F.col("n")).alias("step"), place("order").alias("row"), F.explode(every).alias("column"))
+    earlier = hot.select("w", "parts", *[F.col(c).alias(f"e_{c}") for c in ENTRY]).withColumn("step", near)
     earlier = earlier.withColumn("column", place("e_order")).withColumn("row", F.explode(every)).drop("parts")
-    warm = later.withColumn("column", F.col("column").cast("long")).join(
+    met = later.withColumn("column", F.col("column").cast("long")).join(
         earlier.withColumn("row", F.col("row").cast("long")), ["w", "step", "row", "column"]
     )
-    fields = [*ENTRY, *[f"e_{c}" for c in ENTRY]]
     return (
-        cold.select(fields)
-        .union(warm.select(fields))
-        .filter(F.col("e_order") < F.col("order"))
+        met.filter(F.col("e_order") < F.col("order"))
         .filter(_possible("e_", "", t))
         .select(F.col("e_order").alias("earlier"), F.col("order").alias("later"))
     )
@@ -208,12 +228,7 @@ def similar_later(distinct: DataFrame, t: float = SIMILARITY) -> DataFrame:
     index = settle(_index(distinct, t), "index")
     tried = index.filter(F.col("f_order").isNotNull()).select(F.col("f_order").alias("earlier"), F.col("order").alias("later"))
     gone = settle(_verified(tried, distinct, t).select(F.col("later").alias("order")).distinct(), "gone")
-    parts = F.ceil(F.col("many") / HOT).cast("int")
-    facts = settle(index.filter("hot").groupBy("w").agg(F.count("*").alias("many")).select("w", parts.alias("parts")), "facts")
-    known = F.col("hot") | F.col("crowded") | F.col("f_order").isNotNull()
-    entries = index.select("w", *ENTRY, "hot")
-    left = index.filter(known).join(gone, "order", "left_anti").select(entries.columns)
-    rest = _rest(left.union(index.filter(~known).select(entries.columns)), entries, facts, t)
+    rest = _cold(index, gone, t).union(_warm(index, gone, t))
     rest = rest.join(gone.toDF("later"), "later", "left_anti")
     return gone.union(_verified(rest, distinct, t).select(F.col("later").alias("order")).distinct())
 
