@@ -1,14 +1,17 @@
 """SimHash groups, line deduplication and snapshots of conversations against brute force."""
 
+import os
 import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from textgrove.llm import chat, line_dedup, simhash
 from textgrove.llm.components import components
+from textgrove.operators import scale
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -230,3 +233,43 @@ def test_words_of_a_line_are_cut_once(spark):
     lines = spark.createDataFrame([("a b c d", 1), ("a b c e", 2)], "line string, `order` long")
     plan = line_dedup._index(lines, 0.8)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("transform(array_remove(") == 1
+
+
+def test_a_word_too_late_in_its_lines_is_left_out(spark):
+    """Two lines of ten words need nine in common: one they share at the third place cannot lead to them."""
+    common = " ".join(f"c{k}" for k in range(7))
+    lines = [f"a1 a2 s {common}", f"b1 b2 s {common}", *(f"d{k} e{k} f{k} {common}" for k in range(5))]
+    assert line_dedup._index(spark.createDataFrame([(line, k) for k, line in enumerate(lines)], "line string, `order` long"), 0.8).count() == 0
+    near = [f"a1 a2 s {common}", f"a1 b2 s {common}"]  # nine in common of eleven
+    found = line_dedup.similar_later(spark.createDataFrame([(line, k) for k, line in enumerate([*near, *lines[2:]])], "line string, `order` long"))
+    assert [r["order"] for r in found.collect()] == [1]
+
+
+def test_steps_leave_only_what_is_read(spark):
+    """Tables that nothing reads any more are deleted in the course of the job: else all are on the disk at once."""
+    rows = [(k, " ".join(f"w{i}" for i in range(20)) + f" v{k % 7}\nx{k} y z") for k in range(40)]
+    folder, table = scale.run_folder(spark).removeprefix("file:"), spark.createDataFrame(rows, "doc_id long, text string")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    report = line_dedup.report(table)
+    assert {name.split("-")[0] for name in set(os.listdir(folder)) - before} == {"affected"}
+    assert {r["doc_id"]: r["removed"] for r in report.collect()} == {key: places for key, places in plain_removed(rows).values()}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("settled_")]
+
+
+def test_tables_settled_by_a_key_are_joined_where_they_lie(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left, right = (scale.settle_by(spark.range(200).withColumn(c, F.col("id") * 2).repartition(parts, "id"), "id") for c in "ab")
+    joined = left.hint("merge").join(right, "id")
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.filter("a = b").count() == 200
+    scale.discard(left, right)
+
+
+def test_other_letters_keep_their_case(spark):
+    """Only A-Z are lower-cased, whatever other letters stand beside them."""
+    lines = ["A \u00c9 \u00df \u4e2d", "a \u00e9 \u00df \u4e2d", "a \u00c9 \u00df \u4e2d", "B \u0130 \u2160 \u24b6 \u03a3", "b \u0130 \u2160 \u24b6 \u03a3", "b \u0130 \u2170 \u24d0 \u03c3", "C \u00fc\u00ff\u00b5", "c \u00fc\u00ff\u00b5", "\u00d7 \u00dcX", "\u00d7 \u00dcx", "\u00d7 \u00fcx"]
+    rows = [(k, line) for k, line in enumerate(lines)]
+    got = {r["doc_id"]: r["removed"] for r in line_dedup.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {key: places for key, places in plain_removed(rows).values()}
+    plain = spark.createDataFrame(rows, "k long, line string").select("line", line_dedup._plain(F.col("line")).alias("plain")).collect()
+    assert all(r["plain"] == r["line"].translate(LOWER) for r in plain)

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from textgrove.llm.words import SPACE, ascii_lower, column
-from textgrove.operators.scale import running_totals, settle_last as settle
+from textgrove.operators.scale import discard, running_totals, settle_by, settle_last as settle, shuffles_dropped
 
 SIMILARITY = 0.8
 #: Cells of the table of frequencies; a cell's level is a byte. Only the order of words depends on it.
@@ -25,25 +26,34 @@ CELLS = 1 << 19
 STEPS = 5
 HASH_BITS = 55
 SLACK = 1e-9
+#: What may have a lower case besides A-Z: all but ASCII, Latin-1 from sharp s on, punctuation and CJK.
+OTHER_LETTERS = "[^\\x00-\\x7F\\xA0-\\xBF\\xDF-\\xFF\\u2010-\\u205E\\u3001-\\u9FFF]"
 #: Lines of a word that one task compares at most; the lines of more frequent words are dealt over a grid.
 HOT = 1 << 12
+#: Numbers of 64 bits in the sketch of a line that is verified, a power of 2.
+SKETCH = 4
 #: Rows of a word from which lines that are known to go are always taken out before they are joined.
 CROWD = 1 << 10
 
 
+def _plain(line: Column) -> Column:
+    """A line in lower case whose only white space are plain spaces."""
+    other = reduce(lambda a, b: a | b, [F.contains(line, F.lit(c)) for c in SPACE[1:]])
+    flat = F.when(other, F.translate(line, SPACE, " " * len(SPACE))).otherwise(line)
+    only_a_to_z = (F.octet_length(line) == F.char_length(line)) | ~line.rlike(OTHER_LETTERS)
+    return F.when(only_a_to_z, F.lower(flat)).otherwise(ascii_lower(flat))
+
+
 def _split(line: Column) -> Column:
-    """The lower-cased words of a line, repeats included, and empty strings between spaces.
+    """The words of a plain line, repeats included, and empty strings between spaces.
 
-    Cut at a single character, which builds no pattern for each line; other white space is made a
-    space first, where there is any.
+    Cut at a single character, which builds no pattern for each line.
     """
-    flat = F.when(line.rlike(r"[\x09-\x0D]"), F.translate(line, SPACE, " " * len(SPACE))).otherwise(line)
-    ascii_only = F.octet_length(line) == F.char_length(line)
-    return F.split(F.when(ascii_only, F.lower(flat)).otherwise(ascii_lower(flat)), " ")
+    return F.split(line, " ")
 
 
 def line_words(line: Column) -> Column:
-    """The set of lower-cased words of a line, as 64-bit hashes."""
+    """The set of words of a plain line, as 64-bit hashes."""
     return F.array_distinct(F.transform(F.array_remove(_split(line), ""), lambda w: F.xxhash64(w)))
 
 
@@ -94,13 +104,16 @@ def rarity(lines: DataFrame) -> Callable[[Column], Column]:
     """
     spark = lines.sparkSession
     cell = lambda w: w.bitwiseAND(F.lit(CELLS - 1))
-    counts = lines.select(F.explode_outer(_split(F.col("line"))).alias("w")).groupBy(cell(F.xxhash64("w")).alias("cell")).agg(F.count("*").alias("n"))
+    few = lines.coalesce(spark.sparkContext.defaultParallelism)  # each task sends a count for nearly every cell
+    counts = few.select(F.explode_outer(_split(F.col("line"))).alias("w")).groupBy(cell(F.xxhash64("w")).alias("cell")).agg(F.count("*").alias("n"))
     every = spark.range(CELLS).select(F.col("id").alias("cell")).join(counts, "cell", "left")
     every = every.select("cell", _level(F.coalesce("n", F.lit(0))).alias("level"))
     by_cell = F.sort_array(F.collect_list(F.struct("cell", "level")))
-    text = F.array_join(F.transform(by_cell, lambda c: F.lpad(F.hex(c["level"]), 2, "0")), "")
-    table = F.lit(bytearray(every.agg(F.unhex(text).alias("t")).first()["t"]))
-    level = lambda w: F.ascii(F.substring(table, cell(w).cast("int") + 1, F.lit(1)).cast("string"))
+    text = F.array_join(F.transform(by_cell, lambda c: c["level"].cast("string")), ",")
+    with shuffles_dropped(spark):
+        levels = every.agg(text.alias("levels")).first()["levels"]
+    table = F.from_json(F.lit(f"[{levels}]"), "array<tinyint>")  # made once, by the planner
+    level = lambda w: F.get(table, cell(w).cast("int"))
     return lambda w: F.shiftleft(level(w).cast("long"), HASH_BITS).bitwiseOR(F.shiftrightunsigned(w, 64 - HASH_BITS))
 
 
@@ -120,116 +133,160 @@ def _possible(a: str, b: str, t: float) -> Column:
     )
 
 
+def _parity(words: str | Column) -> Column:
+    """64 bits, each whether an odd number of the words fall on it: a word more or less turns one over."""
+    one = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate(words, F.lit(0).cast("long"), lambda b, w: b.bitwiseXOR(one(w)))
+
+
 def _verified(pairs: DataFrame, distinct: DataFrame, t: float) -> DataFrame:
-    """The pairs ``(earlier, later)`` whose sets of words are similar."""
+    """``order`` of the later lines of the pairs ``(earlier, later)`` whose sets of words are similar.
+
+    Words are sent only for pairs whose sketches, ``SKETCH`` numbers a line, leave it open.
+    """
     pairs = settle(pairs.distinct(), "pairs")
     ids = pairs.select(F.explode(F.array("earlier", "later")).alias("order")).distinct()
-    sets = settle(distinct.join(ids, "order", "left_semi").select("order", line_words(F.col("line")).alias("words")), "sets")
-    left, right = sets.toDF("earlier", "w"), sets.toDF("later", "v")
-    common = F.size(F.array_intersect("w", "v"))
-    return (
-        pairs.join(left, "earlier")
-        .join(right, "later")
-        .filter(common >= _needed(F.size("w"), F.size("v"), t))
+    words = distinct.join(ids.hint("shuffle_hash"), "order", "left_semi").select("order", line_words(F.col("line")).alias("words"))
+    part = lambda k: F.filter("words", lambda w: F.shiftright(w, 6).bitwiseAND(F.lit(SKETCH - 1)) == k)
+    bits = [f"b{k}" for k in range(SKETCH)]
+    sets = settle(words.select("*", F.size("words").alias("n"), *[_parity(part(k)).alias(b) for k, b in enumerate(bits)]), "sets")
+    sketches = sets.drop("words")
+    n, m = F.col("n"), F.col("m")
+    apart = reduce(lambda a, b: a + b, [F.bit_count(F.col(b).bitwiseXOR(F.col(f"e_{b}"))) for b in bits])
+    open_ = (
+        pairs.join(sketches.toDF("earlier", "m", *[f"e_{b}" for b in bits]), "earlier")
+        .join(sketches.withColumnRenamed("order", "later"), "later")
+        .filter(apart <= n + m - 2 * _needed(n, m, t))
         .select("earlier", "later")
     )
+    left, right = sets.select(F.col("order").alias("earlier"), F.col("words").alias("w")), sets.select(F.col("order").alias("later"), F.col("words").alias("v"))
+    common = F.size(F.array_intersect("w", "v"))
+    similar = open_.join(left, "earlier").join(right, "later").filter(common >= _needed(F.size("w"), F.size("v"), t))
+    later = settle(similar.select(F.col("later").alias("order")).distinct(), "later")
+    discard(pairs, sets)
+    return later
 
 
 ENTRY = ("order", "n", "i", "bits")
 
 
 def _index(distinct: DataFrame, t: float) -> DataFrame:
-    """``(w, order, n, i, bits, hot, f_order, crowded)``: the words of the prefixes of the lines of ``distinct``.
+    """``(key, w, order, n, i, bits, hot, f_order, crowded)``: the words of the prefixes of the lines of ``distinct``.
 
-    A row whose word has no other line of a similar length is left out. ``f_order`` is the earliest
-    line of the word if the two may be similar. Hot words, which the table of frequencies shows to
-    have ``HOT`` lines or more, are dealt over several windows by line, and all of their rows stay.
+    Rows of a word have one ``key`` and are dealt by it. A row is left out if no other line of its
+    word has a length at which their places allow the words that are needed. ``f_order`` is the
+    earliest line of the word if the two may be similar. Hot words, which the table of frequencies
+    shows to have ``HOT`` lines or more, have several keys by line, and all of their rows stay; only
+    they are named in ``w``.
     """
     words = distinct.select("order", line_words(F.col("line")).alias("words"))
     place = rarity(distinct)
-    parity = F.aggregate("words", F.lit(0).cast("long"), lambda b, w: b.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))))
     n = F.size("words")
     prefix = F.slice(F.sort_array(F.transform("words", place)), F.lit(1), (n - F.ceil(n * t - SLACK) + 1).cast("int"))
-    rows = words.select("order", n.alias("n"), parity.alias("bits"), prefix.alias("prefix"))
+    rows = words.select("order", n.alias("n"), _parity("words").alias("bits"), prefix.alias("prefix"))
     rows = rows.select("order", "n", "bits", F.posexplode_outer("prefix").alias("i", "w"))
     level = F.shiftright("w", HASH_BITS)
     hot = level >= F.lit(math.floor(STEPS * math.log2(1 + HOT)))
     most = F.ceil(F.pow(F.lit(2.0), (level + 1) / STEPS) / HOT)
-    rows = rows.withColumns({"hot": hot, "part": F.when(hot, F.pmod(F.xxhash64("order"), most)).otherwise(F.lit(0).cast("long"))})
-    one = Window.partitionBy("w", "part")
-    rows = rows.withColumns({f"f_{c}": F.first(c).over(one.orderBy("order")) for c in ENTRY})
+    key = F.when(hot, F.xxhash64("w", F.pmod(F.xxhash64("order"), most))).otherwise(F.col("w"))
+    rows = rows.select(key.alias("key"), F.when(hot, F.col("w")).alias("w"), *ENTRY)
+    rows = rows.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
+    one = Window.partitionBy("key")
     by_length = one.orderBy("n")
-    crowded = F.count("*").over(one) > CROWD
-    rows = rows.withColumns({"crowded": crowded, "shorter": F.lag("n").over(by_length), "longer": F.lead("n").over(by_length)})
-    partner = (F.col("shorter") >= F.col("n") * t - SLACK) | (F.col("n") >= F.col("longer") * t - SLACK)
+    before = by_length.rowsBetween(Window.unboundedPreceding, -1)
+    n, left = F.col("n"), F.col("n") - F.col("i")  # words from the place of this one on
+    rows = rows.withColumns(
+        {
+            "shorter": F.last(F.when(left >= _needed(n, n, t), n), ignorenulls=True).over(before),  # fit for a line as long or longer
+            "longer": F.lead("n").over(by_length),
+        }
+    )
+    rows = rows.withColumns({"f": F.min(F.struct(*ENTRY)).over(one), "crowded": F.count("*").over(one) > CROWD})
+    rows = rows.select("*", *[F.col("f")[c].alias(f"f_{c}") for c in ENTRY])
+    partner = (F.col("shorter") >= n * t - SLACK) | (left >= _needed(n, F.col("longer"), t))
+    hot = F.col("w").isNotNull()
     tried = F.when((F.col("f_order") < F.col("order")) & _possible("f_", "", t), F.col("f_order"))
-    return rows.filter(F.col("hot") | F.coalesce(partner, F.lit(False))).select("w", *ENTRY, "hot", tried.alias("f_order"), "crowded")
+    return rows.filter(hot | F.coalesce(partner, F.lit(False))).select("key", "w", *ENTRY, hot.alias("hot"), tried.alias("f_order"), "crowded")
+
 
+def _earlier(df: DataFrame, *more: str) -> DataFrame:
+    return df.select(*more, *[F.col(c).alias(f"e_{c}") for c in ENTRY])
 
-def _rest(left: DataFrame, others: DataFrame, facts: DataFrame, t: float) -> DataFrame:
-    """Pairs of the lines of ``left`` and earlier ones of ``others`` that share an indexed word.
 
-    Lines of a hot word meet only those of a similar length, and in cells of a grid, so that a task
-    holds ``HOT`` lines of a side: each line is sent to one row or column of the grid of its word.
+def _paired(rows: DataFrame, t: float) -> DataFrame:
+    """The pairs ``(earlier, later)`` of joined rows that may be similar."""
+    return (
+        rows.filter(F.col("e_order") < F.col("order"))
+        .filter(_possible("e_", "", t))
+        .select(F.col("e_order").alias("earlier"), F.col("order").alias("later"))
+    )
+
+
+def _rest_of_hot(left: DataFrame, others: DataFrame, facts: DataFrame, t: float) -> DataFrame:
+    """Pairs of the lines of ``left`` and earlier ones of ``others`` that share a hot word.
+
+    Lines meet only those of a similar length, and in cells of a grid, so that a task holds ``HOT``
+    lines of a side: each line is sent to one row or column of the grid of its word.
     """
-    named = lambda df, *more: df.select("w", *more, *[F.col(c).alias(f"e_{c}") for c in ENTRY])
-    cold = left.filter("not hot").join(named(others.filter("not hot")), "w")
-    many = lambda df: df.filter("hot").join(facts, "w")
     step = lambda n: F.floor(F.log(n) / math.log(1.001 / t)).cast("int")  # noqa: E731  similar lengths are one step apart at most
     every = F.sequence(F.lit(0), F.col("parts") - 1)
     place = lambda order: F.pmod(F.xxhash64(order), F.col("parts"))
     near = F.explode(F.array(*[step(F.col("e_n")) + d for d in (-1, 0, 1)]))
-    later = many(left).select("w", *ENTRY, step(F.col("n")).alias("step"), place("order").alias("row"), F.explode(every).alias("column"))
-    earlier = named(many(others), "parts").withColumn("step", near)
+    later = left.join(facts, "w").select("w", *ENTRY, step(F.col("n")).alias("step"), place("order").alias("row"), F.explode(every).alias("column"))
+    earlier = _earlier(others.join(facts, "w"), "w", "parts").withColumn("step", near)
     earlier = earlier.withColumn("column", place("e_order")).withColumn("row", F.explode(every)).drop("parts")
-    warm = later.withColumn("column", F.col("column").cast("long")).join(
-        earlier.withColumn("row", F.col("row").cast("long")), ["w", "step", "row", "column"]
-    )
-    fields = [*ENTRY, *[f"e_{c}" for c in ENTRY]]
-    return (
-        cold.select(fields)
-        .union(warm.select(fields))
-        .filter(F.col("e_order") < F.col("order"))
-        .filter(_possible("e_", "", t))
-        .select(F.col("e_order").alias("earlier"), F.col("order").alias("later"))
+    return _paired(
+        later.withColumn("column", F.col("column").cast("long")).join(earlier.withColumn("row", F.col("row").cast("long")), ["w", "step", "row", "column"]), t
     )
 
 
 def similar_later(distinct: DataFrame, t: float = SIMILARITY) -> DataFrame:
-    """``order`` of the lines of ``distinct`` (line, order) that are similar to an earlier one.
+    """``order`` of the lines of ``distinct`` (line, order), plain ones, that are similar to an earlier one.
 
     Each line is indexed under the words of its prefix. A line is held against the earliest line of
     each of its words first; most near-copies of one line go there, however many there are. Only
-    the lines that are left are joined with all earlier ones of their words. The lines that went are
-    taken out of the rows that may belong to them, those of crowded words and those whose earliest
-    line may be similar; the other rows, nearly all, are not shuffled for it. What they add is taken
-    out of the pairs.
+    the lines that are left are joined with all earlier ones of their words. The index is written as
+    it was dealt, so this join moves no row of it but those that may belong to lines that went, of
+    crowded words and with an earliest line that may be similar; these lose what went before. What
+    the other rows add is taken out of the pairs.
     """
-    index = settle(_index(distinct, t), "index")
+    index = settle_by(_index(distinct, t), "key", "index")
     tried = index.filter(F.col("f_order").isNotNull()).select(F.col("f_order").alias("earlier"), F.col("order").alias("later"))
-    gone = settle(_verified(tried, distinct, t).select(F.col("later").alias("order")).distinct(), "gone")
+    gone = _verified(tried, distinct, t)
+    cold, hot = index.filter("not hot"), index.filter("hot")
+    known = F.col("crowded") | F.col("f_order").isNotNull()
+    without = lambda df: df.join(gone, "order", "left_anti")
+    entries = lambda df: df.select("key", *ENTRY)
+    others = _earlier(cold, "key")
+    rest = _paired(entries(cold.filter(~known)).join(others, "key"), t).union(_paired(without(entries(cold.filter(known))).join(others, "key"), t))
     parts = F.ceil(F.col("many") / HOT).cast("int")
-    facts = settle(index.filter("hot").groupBy("w").agg(F.count("*").alias("many")).select("w", parts.alias("parts")), "facts")
-    known = F.col("hot") | F.col("crowded") | F.col("f_order").isNotNull()
-    entries = index.select("w", *ENTRY, "hot")
-    left = index.filter(known).join(gone, "order", "left_anti").select(entries.columns)
-    rest = _rest(left.union(index.filter(~known).select(entries.columns)), entries, facts, t)
-    rest = rest.join(gone.toDF("later"), "later", "left_anti")
-    return gone.union(_verified(rest, distinct, t).select(F.col("later").alias("order")).distinct())
+    facts = settle(hot.groupBy("w").agg(F.count("*").alias("many")).filter("many > 1").select("w", parts.alias("parts")), "facts")
+    rest = rest.union(_rest_of_hot(without(hot), hot, facts, t))
+    rest = settle(rest, "rest")  # else the planner takes lines out of the index, not of the pairs, and deals it once more
+    discard(index, facts)
+    late = _verified(rest.join(gone.toDF("later"), "later", "left_anti"), distinct, t)
+    discard(rest)
+    both = settle(gone.union(late), "gone")
+    discard(gone, late)
+    return both
 
 
 def _removed(numbered: DataFrame, bits: int, t: float) -> DataFrame:
     """``(num, removed)``: the places of the lines that go, for rows that lose some."""
     lines = _lines(numbered, bits)
     key = [F.xxhash64("line").alias("k1"), F.xxhash64(F.lit(1), "line").alias("k2")]
-    distinct = settle(lines.groupBy("line").agg(F.min("order").alias("order"), F.count("*").alias("n")).select("*", *key), "distinct")
-    gone = settle(similar_later(distinct.select("line", "order"), t), "gone")
+    firsts = settle(lines.select("order", *key).groupBy("k1", "k2").agg(F.min("order").alias("order"), F.count("*").alias("n")), "firsts")
+    dealt = lines.select(_plain(F.col("line")).alias("line"), "order").repartition(int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")), "order")
+    distinct = settle_by(dealt.join(firsts, "order", "left_semi"), "order", "distinct", compression="zstd")
+    gone = similar_later(distinct, t)
+    discard(distinct)
     affected = settle(
-        distinct.join(gone.withColumn("similar", F.lit(True)), "order", "left")
+        firsts.join(gone.withColumn("similar", F.lit(True)), "order", "left")
         .filter("n > 1 or similar")
         .select("k1", "k2", F.col("order").alias("first"), F.coalesce("similar", F.lit(False)).alias("similar")),
         "affected",
     )
+    discard(firsts, gone)
     places = lines.select("num", "pos", "order", *key).join(affected, ["k1", "k2"]).filter(F.col("similar") | (F.col("order") > F.col("first")))
     return places.groupBy("num").agg(F.sort_array(F.collect_list("pos")).alias("removed"))
 
